@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 WHERE = {
     "p1_found": "truncation.found",
     "p1_source_rates": "truncation.source_rates",
+    "p2_found": "residue.found",
+    "p2_clean_qa_pairs": "residue.clean_qa_pairs",
+    "p2_clean_dataset_entries": "residue.clean_dataset_entries",
 }
 
 
