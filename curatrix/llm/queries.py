@@ -14,6 +14,8 @@ WHERE = {
     "p2_found": "residue.found",
     "p2_clean_qa_pairs": "residue.clean_qa_pairs",
     "p2_clean_dataset_entries": "residue.clean_dataset_entries",
+    "p7_found": "repetition.found",
+    "p7_text_shares": "repetition.text_shares",
 }
 
 
