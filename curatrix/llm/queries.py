@@ -14,6 +14,11 @@ WHERE = {
     "p2_found": "residue.found",
     "p2_clean_qa_pairs": "residue.clean_qa_pairs",
     "p2_clean_dataset_entries": "residue.clean_dataset_entries",
+    "p3_found": "pairs.found",
+    "p3_defect_rates": "pairs.defect_rates",
+    "p6_found": "language.found",
+    "p6_field_languages": "language.field_languages",
+    "p6_segment_languages": "language.segment_languages",
     "p7_found": "repetition.found",
     "p7_text_shares": "repetition.text_shares",
 }
