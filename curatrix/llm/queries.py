@@ -16,6 +16,11 @@ WHERE = {
     "p2_clean_dataset_entries": "residue.clean_dataset_entries",
     "p3_found": "pairs.found",
     "p3_defect_rates": "pairs.defect_rates",
+    "p4_found": "ranking.found",
+    "p4_ranking": "ranking.ranking",
+    "p5_found": "sampling.found",
+    "p5_sample": "sampling.sample",
+    "p5_quotas": "sampling.quotas",
     "p6_found": "language.found",
     "p6_field_languages": "language.field_languages",
     "p6_segment_languages": "language.segment_languages",
