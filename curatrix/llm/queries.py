@@ -26,6 +26,12 @@ WHERE = {
     "p6_segment_languages": "language.segment_languages",
     "p7_found": "repetition.found",
     "p7_text_shares": "repetition.text_shares",
+    "p8_found": "packing.found",
+    "p8_packed": "packing.packed",
+    "p8_fill_report": "packing.fill_report",
+    "p9_found": "mixing.found",
+    "p9_mixture": "mixing.mixture",
+    "p9_shares": "mixing.shares",
 }
 
 

@@ -6,7 +6,10 @@ import base64
 import os
 from functools import lru_cache
 
-DEFAULT_VOCABULARY = os.environ.get("CURATRIX_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+import pandas as pd
+from pyspark.sql.functions import pandas_udf
+
+DEFAULT_VOCABULARY = os.environ.get("CURATRIX_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 #: Fixed value: the usual splitting pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -35,9 +38,6 @@ def load(path: str = DEFAULT_VOCABULARY):
 
 def counter(path: str = DEFAULT_VOCABULARY):
     """A pandas UDF from text to its number of tokens (null: 0)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("int")
     def n_tokens(texts: pd.Series) -> pd.Series:
         return pd.Series(load(path)(texts.fillna("").tolist()), dtype="int32")
