@@ -32,6 +32,9 @@ WHERE = {
     "p9_found": "mixing.found",
     "p9_mixture": "mixing.mixture",
     "p9_shares": "mixing.shares",
+    "p10_found": "spans.found",
+    "p10_spans": "spans.shared_spans",
+    "p10_coverage": "spans.coverage",
 }
 
 

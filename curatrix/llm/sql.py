@@ -1,3 +1,42 @@
-"""DuckDB statements equal to the queries."""
+"""DuckDB statements equal to the queries that SQL can state over whole tables."""
 
-SQL: dict[str, str] = {}
+_EVALUATIONS = "SELECT DISTINCT eval_id, run_id, relevance_score, accuracy_score, coverage_score, consistency_score FROM doc_evaluations"
+_LONG = f"""
+WITH e AS ({_EVALUATIONS}),
+l AS (
+  SELECT eval_id, run_id, 1 AS score, relevance_score AS value FROM e UNION ALL
+  SELECT eval_id, run_id, 2, accuracy_score FROM e UNION ALL
+  SELECT eval_id, run_id, 3, coverage_score FROM e UNION ALL
+  SELECT eval_id, run_id, 4, consistency_score FROM e)
+"""
+_LABELS = """
+WITH e AS (
+  SELECT DISTINCT entry_id, release_id,
+    nullif(nullif(regexp_replace(lower(trim(question_type)), '[ _./-]+', '_', 'g'), ''), 'unknown') AS qt,
+    nullif(nullif(regexp_replace(lower(trim(difficulty)), '[ _./-]+', '_', 'g'), ''), 'unknown') AS df
+  FROM dataset_entries),
+z AS (SELECT release_id, count(*) // 2 AS sample_size FROM e GROUP BY 1),
+k AS (SELECT release_id, qt, df, count(*) AS n FROM e GROUP BY ALL)
+"""
+
+SQL: dict[str, str] = {
+    "p4_found": _LONG
+    + """, s AS (
+      SELECT eval_id, run_id, value, cume_dist() OVER (PARTITION BY run_id, score, value IS NULL ORDER BY value) AS standing FROM l),
+    m AS (SELECT eval_id, run_id, round(sum(standing) / 4, 9) AS points FROM s GROUP BY 1, 2 HAVING count(value) = 4),
+    r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY points DESC, eval_id) AS rank FROM m)
+    SELECT eval_id FROM r WHERE rank <= 10""",
+    "p4_ranking": _LONG
+    + """, s AS (
+      SELECT *, rank() OVER (PARTITION BY run_id, score, value IS NULL ORDER BY value) - 1 AS below,
+        count(*) OVER (PARTITION BY run_id, score, value) AS ties, count(value) OVER (PARTITION BY run_id, score) AS n FROM l),
+    m AS (
+      SELECT eval_id, run_id, count(*) - count(value) AS n_missing,
+        round(sum(CASE WHEN value IS NULL THEN 0.5 ELSE (below + (ties - 1) / 2.0) / greatest(n - 1, 1) END) / 4, 9) AS points
+      FROM s GROUP BY 1, 2)
+    SELECT eval_id, run_id, points, n_missing, row_number() OVER (PARTITION BY run_id ORDER BY points DESC, eval_id) AS rank FROM m""",
+    "p5_found": _LABELS
+    + """SELECT z.release_id, t.question_type, t.difficulty
+    FROM z CROSS JOIN sample_targets t LEFT JOIN k ON k.release_id = z.release_id AND k.qt = t.question_type AND k.df = t.difficulty
+    WHERE coalesce(k.n, 0) < greatest(t.target_percent * z.sample_size // 100, t.min_rows)""",
+}
