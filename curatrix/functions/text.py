@@ -25,6 +25,11 @@ CJK = "[一-鿿]"
 STOPWORDS = tuple("的 了 在 是 我 有 和 就 不 人 都 一 个 上 也 很 到 说 要 去 你 会 着 没有 看 好 自己 这 那 什么 吗 呢 吧 啊 the a an and or but in on at to for of with by from is are was were be been this that it".split())
 
 
+def let(value: Column, use) -> Column:
+    """``use`` applied to ``value``, which is computed once even where it is used inside a lambda."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
 def replaced(c: Column, *pairs: tuple[str, str]) -> Column:
     for pattern, by in pairs:
         c = F.regexp_replace(c, pattern, by)
@@ -181,8 +186,12 @@ def with_stops(c: Column) -> Column:
 
 def ngrams(tokens_: Column, n: int, sep: str = "") -> Column:
     """Joined runs of n tokens; none if there are fewer."""
-    last = F.size(tokens_) - n + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(tokens_, i, n), sep))).otherwise(F.array().cast("array<string>"))
+
+    def runs(t: Column) -> Column:
+        last = F.size(t) - n + 1
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), sep))).otherwise(F.array().cast("array<string>"))
+
+    return let(tokens_, runs)
 
 
 def language(c: Column) -> Column:

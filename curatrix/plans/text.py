@@ -87,7 +87,7 @@ def render_template(spark: SparkSession, d: str) -> DataFrame:
     return e.select("entity_id", T.render(F.lit("${name} is a ${kind} (${unknown})"), F.create_map(F.lit("name"), F.col("text"), F.lit("kind"), F.col("type"))).alias("line"))
 
 
-@PLAN.add("""SELECT o_orderkey, CASE WHEN s < 1024 THEN printf('%.2f B', s) WHEN s < 1048576 THEN printf('%.2f KB', s / 1024) WHEN s < 1073741824 THEN printf('%.2f MB', s / 1048576) ELSE printf('%.2f GB', s / 1073741824) END AS size
+@PLAN.add("""SELECT o_orderkey, CASE WHEN s < 1024 THEN printf('%.2f B', s) WHEN s < 1048576 THEN printf('%.2f KB', round(s / 1024, 2)) WHEN s < 1073741824 THEN printf('%.2f MB', round(s / 1048576, 2)) ELSE printf('%.2f GB', round(s / 1073741824, 2)) END AS size
 FROM (SELECT o_orderkey, round(o_totalprice) * 7 + 1 AS s FROM orders)""")
 def format_file_size(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "orders").select("o_orderkey", T.file_size(F.round("o_totalprice") * 7 + 1).alias("size"))
