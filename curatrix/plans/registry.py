@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("text", "dedup", "rules", "metrics", "scores")
+MODULES: tuple[str, ...] = ("text", "dedup", "rules", "metrics", "scores", "graph")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
