@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from . import text as T
 
@@ -53,7 +54,7 @@ def bleu(reference: Column, candidate: Column, most: int = 2, epsilon: float = 0
     return F.when((F.size(candidate) > 0) & (first > 0), brevity * F.exp(logs / most)).otherwise(0.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def rouge_l(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     """ROUGE-L F-measure: longest common subsequence by two rows of the table (no built-in expresses it)."""
 
@@ -68,7 +69,7 @@ def rouge_l(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([2 * lcs(a, b) / (len(a) + len(b)) if a is not None and b is not None and len(a) and len(b) else 0.0 for a, b in zip(reference, candidate)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Share of matching blocks of two strings (Ratcliff-Obershelp)."""
     from difflib import SequenceMatcher

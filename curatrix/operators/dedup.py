@@ -67,31 +67,32 @@ def shingled(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", F.array_distinct(T.let(T.ngrams(words, size, " "), hashed)).alias("shingles")).where("size(shingles) > 0")
 
 
-def candidates(sets: DataFrame, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:
-    """Links (doc_id, other) from each text to the smallest doc_id of each of its buckets: a star, linear in the bucket, pre-aggregated."""
+def banded(sets: DataFrame, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:
+    """doc_id, n (shingles), key: a row for each band of each text."""
     rows = permutations // bands
-    sig = sets.select("doc_id", T.let(F.col("shingles"), lambda x: signature(x, permutations)).alias("s"))
+    sig = sets.select("doc_id", F.size("shingles").alias("n"), T.let(F.col("shingles"), lambda x: signature(x, permutations)).alias("s"))
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.col("s")[i * rows + j] for j in range(rows)]) for i in range(bands)])
-    band = stored(sig.select("doc_id", F.explode(keys).alias("key")))
-    first = band.groupBy("key").agg(F.min("doc_id").alias("other"), F.max("doc_id").alias("last")).where("other < last").drop("last")
-    return band.join(first, "key").where("doc_id > other").select("doc_id", "other", "key")
+    return sig.select("doc_id", "n", F.explode(keys).alias("key"))
 
 
-def similar_links(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id, other (smaller), similarity of verified near-copies of different texts.
+def candidates(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Distinct pairs (doc_id, other smaller) of texts that share a bucket and whose sizes allow the similarity.
 
-    Star links are verified first; members of a bucket that are not similar to its first text are paired among themselves, so no link is
-    lost to the star. Exact copies should be removed before (see ``near_classes``).
+    Keys of a single text are dropped by a pre-aggregated count before the join, which AQE splits where a bucket is hot. Exact copies must be
+    collapsed before (``near_classes`` does), so that a bucket holds different texts only and every link between them is kept.
     """
+    band = stored(banded(sets))
+    several = band.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
+    rows = band.join(several, "key", "left_semi")
+    x, y = rows.alias("x"), rows.alias("y")
+    fits = F.least("x.n", "y.n") >= similar * F.greatest("x.n", "y.n")
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") > F.col("y.doc_id")) & fits).select("x.doc_id", F.col("y.doc_id").alias("other")).distinct()
+
+
+def similar_links(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, other (smaller), similarity of near-copies, verified exactly on their shingle sets."""
     sets = stored(shingled(docs))
-    star = stored(candidates(sets))
-    checked = stored(verified(star.select("doc_id", "other").distinct(), sets))
-    good = checked.where(F.col("similarity") >= similar)
-    rest = star.join(good.select("doc_id", "other"), ["doc_id", "other"], "left_anti").select("key", "doc_id")
-    a, b = rest.alias("a"), rest.alias("b")
-    more = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") > F.col("b.doc_id"))).select("a.doc_id", F.col("b.doc_id").alias("other")).distinct()
-    more = more.join(checked.select("doc_id", "other"), ["doc_id", "other"], "left_anti")
-    return good.unionByName(verified(more, sets).where(F.col("similarity") >= similar))
+    return verified(candidates(sets, similar), sets).where(F.col("similarity") >= similar)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -162,7 +163,7 @@ def three_stage(docs: DataFrame, similar: float = 0.7) -> DataFrame:
     fp = stored(representatives(fingerprints(docs), "fingerprint"))
     one = fp.where("doc_id <> representative").select(F.col("doc_id").alias("duplicate_id"), F.col("representative").alias("representative_id"), F.lit(1.0).alias("similarity"), F.lit("fingerprint").alias("method"), F.lit(1).alias("stage"))
     left = stored(docs.join(fp.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi"))
-    pairs = stored(candidates(shingled(left)).select("doc_id", "other").distinct())
+    pairs = stored(candidates(stored(shingled(left)), 0.5))
     used = stored(pairs.select(F.explode(F.array("doc_id", "other")).alias("doc_id")).distinct())
     weights = stored(tfidf(left).join(used, "doc_id", "left_semi"))
     two = cosine_of(pairs, weights).where(F.col("similarity") >= similar).select(F.col("doc_id").alias("duplicate_id"), F.col("other").alias("representative_id"), F.round("similarity", 6).alias("similarity"), F.lit("tfidf").alias("method"), F.lit(2).alias("stage"))
