@@ -42,8 +42,11 @@ def trimmed(c: Column) -> Column:
 
 
 def preprocess(c: Column) -> Column:
-    """Form in which documents are compared: no tags, links, addresses or punctuation, single blanks, lower case."""
-    return F.lower(trimmed(replaced(c, ("<[^>]+>", ""), (URL, ""), (r"\S+@\S+", ""), (r"[^一-龥a-zA-Z0-9\s]", " "), (r"\s+", " "))))
+    """Form in which documents are compared: no tags, links, addresses or punctuation, single blanks, lower case.
+
+    Addresses are sought from word starts only: the same matches, but linear in long runs without blanks.
+    """
+    return F.lower(trimmed(replaced(c, ("<[^>]+>", ""), (URL, ""), (r"(?<!\S)\S+@\S+", ""), (r"[^一-龥a-zA-Z0-9\s]", " "), (r"\s+", " "))))
 
 
 def clean(c: Column, html: bool = True, urls: bool = True, whitespace: bool = True, special: bool = True) -> Column:

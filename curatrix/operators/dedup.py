@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from curatrix.functions import text as T
 
+from .store import spread, stored
+
 #: Multipliers of the min-hash family are drawn from this modulus, a prime under 2^31, so that no product leaves a bigint.
 PRIME = 2147483647
 PERMUTATIONS, BANDS, SHINGLE, SIMILAR = 64, 16, 5, 0.8
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder the cluster names in spark.checkpoint.dir and read back: lineage is cut, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.gettempdir()
-    path = os.path.join(folder, f"curatrix-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fingerprint of (doc_id, text, title): md5 of the preprocessed text and title without a separator. Nulls count as empty."""
     return docs.select("doc_id", F.md5(T.preprocess(F.concat(F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))))).alias("fingerprint"))
@@ -43,7 +30,7 @@ def representatives(docs: DataFrame, key: str) -> DataFrame:
     return docs.join(first, key).select("doc_id", "representative", key)
 
 
-def signature(hashes: "F.Column", permutations: int = PERMUTATIONS) -> "F.Column":
+def signature(hashes: Column, permutations: int = PERMUTATIONS) -> Column:
     """Min-hash signature of an array of hashes below PRIME: the minimum of (a*h+b) mod PRIME for each permutation, in the JVM."""
     mins = []
     for i in range(permutations):  # on a computed array, bind it first (see text.let)
@@ -56,7 +43,7 @@ def _permuted(a: int, b: int):
     return lambda h: (h * F.lit(a) + F.lit(b)) % F.lit(PRIME)
 
 
-def hashed(tokens: "F.Column") -> "F.Column":
+def hashed(tokens: Column) -> Column:
     """The first 31 bits of each token's md5: the same number in every engine."""
     return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % F.lit(PRIME))
 
@@ -68,11 +55,26 @@ def shingled(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def banded(sets: DataFrame, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:
-    """doc_id, n (shingles), key: a row for each band of each text."""
+    """doc_id, n (shingles), key: a row for each band of each text. The same minima as ``signature``, by numpy over Arrow batches."""
     rows = permutations // bands
-    sig = sets.select("doc_id", F.size("shingles").alias("n"), T.let(F.col("shingles"), lambda x: signature(x, permutations)).alias("s"))
-    keys = F.array(*[F.xxhash64(F.lit(i), *[F.col("s")[i * rows + j] for j in range(rows)]) for i in range(bands)])
-    return sig.select("doc_id", "n", F.explode(keys).alias("key"))
+    factors = [((i * 7919 + 104729) % 999983 + 1, (i * 15485863 + 32452843) % PRIME) for i in range(permutations)]
+
+    def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            if not len(p):
+                continue
+            n = p["shingles"].map(len).to_numpy()
+            h, starts = np.concatenate(p["shingles"].to_numpy()).astype(np.int64), np.r_[0, np.cumsum(n)[:-1]]
+            mins = [np.minimum.reduceat((h * a + b) % PRIME, starts) for a, b in factors]
+            for band in range(bands):
+                k = np.full(len(p), band + 1, dtype=np.uint64)
+                for m in mins[band * rows : (band + 1) * rows]:
+                    k = (k ^ m.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                    k ^= k >> np.uint64(29)
+                yield pd.DataFrame({"doc_id": p["doc_id"], "n": n.astype(np.int32), "key": k.view(np.int64)})
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    return sets.select("doc_id", "shingles").where("size(shingles) > 0").mapInPandas(sign, f"doc_id {kind}, n int, key bigint")
 
 
 def candidates(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -91,7 +93,7 @@ def candidates(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def similar_links(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, other (smaller), similarity of near-copies, verified exactly on their shingle sets."""
-    sets = stored(shingled(docs))
+    sets = stored(shingled(spread(docs)))
     return verified(candidates(sets, similar), sets).where(F.col("similarity") >= similar)
 
 
@@ -128,7 +130,8 @@ def components(links: DataFrame, a: str = "doc_id", b: str = "other", rounds: in
 
 def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its class), n_links of every document with text: exact copies join their first text, near-copies its component."""
-    exact = stored(representatives(docs.where("text is not null").select("doc_id", T.preprocess(F.col("text")).alias("text"), F.md5(T.preprocess(F.col("text"))).alias("fp")), "fp"))
+    fp = stored(spread(docs.select("doc_id", "text").where("text is not null")).select("doc_id", F.md5(T.preprocess(F.col("text"))).alias("fp")))
+    exact = stored(representatives(fp, "fp"))
     first = docs.select("doc_id", "text").join(exact.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi")
     links = stored(similar_links(first, similar).select("doc_id", "other"))
     comp = components(links)
@@ -139,8 +142,8 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def tfidf(docs: DataFrame, least_df: int = 2, most_df: float = 0.95) -> DataFrame:
     """doc_id, term, w: L2-normalised tf x (ln((1+n)/(1+df))+1) of terms of two or more letters in at least ``least_df`` and at most a share of documents."""
-    words = docs.select("doc_id", F.explode(F.split(T.preprocess(F.col("text")), " ")).alias("term")).where("length(term) >= 2")
-    tf = words.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    words = spread(docs).select("doc_id", F.explode(F.split(T.preprocess(F.col("text")), " ")).alias("term")).where("length(term) >= 2")
+    tf = stored(words.groupBy("doc_id", "term").agg(F.count("*").alias("tf")))
     n = F.broadcast(docs.agg(F.count("*").alias("n")))
     df = tf.groupBy("term").agg(F.count("*").alias("df")).join(n).where((F.col("df") >= least_df) & (F.col("df") <= most_df * F.col("n")))
     raw = tf.join(df, "term").select("doc_id", "term", (F.col("tf") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
@@ -160,7 +163,7 @@ def three_stage(docs: DataFrame, similar: float = 0.7) -> DataFrame:
 
     A duplicate is listed once: by the earlier stage, then the smallest representative.
     """
-    fp = stored(representatives(fingerprints(docs), "fingerprint"))
+    fp = stored(representatives(stored(fingerprints(spread(docs))), "fingerprint"))
     one = fp.where("doc_id <> representative").select(F.col("doc_id").alias("duplicate_id"), F.col("representative").alias("representative_id"), F.lit(1.0).alias("similarity"), F.lit("fingerprint").alias("method"), F.lit(1).alias("stage"))
     left = stored(docs.join(fp.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi"))
     pairs = stored(candidates(stored(shingled(left)), 0.5))

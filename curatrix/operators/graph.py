@@ -1,6 +1,6 @@
 """Graph operators on edge tables (src, dst): degrees, paths, triangles, communities, PageRank, and per-component analyses.
 
-Loops store each round's table (see dedup.stored) and end when nothing changes; nothing is collected but counters.
+Loops store each round's table (see store.stored) and end when nothing changes; nothing is collected but counters.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .dedup import components, stored
+from .dedup import components
+from .store import stored
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

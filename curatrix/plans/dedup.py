@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators import dedup as D
+from curatrix.operators.store import spread, stored
 
 from .base import QA, TOKENS, Plan, qa, read
 from .text import TRIM, URL
@@ -31,12 +32,12 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 def _by_text(spark: SparkSession, d: str) -> DataFrame:
     """Representatives by text alone."""
-    return D.representatives(D.fingerprints(_docs(spark, d).withColumn("title", F.lit(""))), "fingerprint")
+    return D.representatives(stored(D.fingerprints(spread(_docs(spark, d)).withColumn("title", F.lit("")))), "fingerprint")
 
 
 @PLAN.add(f"WITH {_FP} SELECT doc_id, representative, fingerprint, doc_id <> representative AS is_duplicate FROM r")
 def fingerprint_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return D.representatives(D.fingerprints(_docs(spark, d)), "fingerprint").select("doc_id", "representative", "fingerprint", (F.col("doc_id") != F.col("representative")).alias("is_duplicate"))
+    return D.representatives(stored(D.fingerprints(spread(_docs(spark, d)))), "fingerprint").select("doc_id", "representative", "fingerprint", (F.col("doc_id") != F.col("representative")).alias("is_duplicate"))
 
 
 @PLAN.add(f"WITH {_FP_TEXT} SELECT source, count(*) AS n_unique FROM r WHERE doc_id = representative GROUP BY 1")

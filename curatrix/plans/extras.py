@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from curatrix.functions import text as T
 from curatrix.functions.models import ENCODERS
 from curatrix.operators import graph as G
-from curatrix.operators.dedup import stored
+from curatrix.operators.store import stored
 
 from .base import QA, STEPS, TOKENS, Plan, qa, read, steps
 from .graph import _E, edges, nodes
