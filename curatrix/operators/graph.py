@@ -81,12 +81,14 @@ def neighbour_jaccard(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataFrame:
-    """node, rank (adding up to 1). Nodes without way out give their rank to all. Stored every round; the sum of lost rank is one number."""
+    """node, rank (adding up to 1). Nodes without way out give their rank to all; an empty graph gives no rows. Stored every round; the sum of lost rank is one number."""
     e = stored(edges.select("src", "dst").distinct())
     out = e.groupBy("src").agg(F.count("*").alias("k"))
     nodes = stored(e.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(out.withColumnRenamed("src", "node"), "node", "left"))
     n = nodes.count()
-    rank = nodes.select("node", "k", F.lit(1.0 / max(n, 1)).alias("rank"))
+    if not n:
+        return nodes.select("node", F.lit(0.0).alias("rank"))
+    rank = nodes.select("node", "k", F.lit(1.0 / n).alias("rank"))
     for _ in range(rounds):
         lost = rank.where("k is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
         got = e.join(rank.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("k")).alias("got"))
