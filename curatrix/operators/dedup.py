@@ -144,9 +144,9 @@ def tfidf(docs: DataFrame, least_df: int = 2, most_df: float = 0.95) -> DataFram
     """doc_id, term, w: L2-normalised tf x (ln((1+n)/(1+df))+1) of terms of two or more letters in at least ``least_df`` and at most a share of documents."""
     words = spread(docs).select("doc_id", F.explode(F.split(T.preprocess(F.col("text")), " ")).alias("term")).where("length(term) >= 2")
     tf = stored(words.groupBy("doc_id", "term").agg(F.count("*").alias("tf")))
-    n = F.broadcast(docs.agg(F.count("*").alias("n")))
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).join(n).where((F.col("df") >= least_df) & (F.col("df") <= most_df * F.col("n")))
-    raw = tf.join(df, "term").select("doc_id", "term", (F.col("tf") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
+    n = docs.count()
+    df = tf.groupBy("term").agg(F.count("*").alias("df")).where((F.col("df") >= least_df) & (F.col("df") <= most_df * n))
+    raw = tf.join(df, "term").select("doc_id", "term", (F.col("tf") * (F.ln((1 + n) / (1 + F.col("df"))) + 1)).alias("w"))
     norm = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("w"))
 

@@ -108,10 +108,10 @@ def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
 
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: sum over communities of inner edges / m - (degrees / 2m)^2, on undirected distinct edges."""
-    e = both_ways(edges).where("node < other").join(labels.select("node", F.col("label").alias("l1")), "node").join(labels.select(F.col("node").alias("other"), F.col("label").alias("l2")), "other")
+    e = stored(both_ways(edges).where("node < other").join(labels.select("node", F.col("label").alias("l1")), "node").join(labels.select(F.col("node").alias("other"), F.col("label").alias("l2")), "other"))
     per = e.select(F.explode(F.array(F.struct(F.col("l1").alias("label"), (F.col("l1") == F.col("l2")).cast("int").alias("inner")), F.struct(F.col("l2").alias("label"), F.lit(0).alias("inner")))).alias("x")).groupBy("x.label").agg(F.sum("x.inner").alias("inner"), F.count("*").alias("degree"))
-    m = F.broadcast(e.agg(F.count("*").alias("m")))
-    return per.join(m).agg(F.sum(F.col("inner") / F.col("m") - F.pow(F.col("degree") / (2 * F.col("m")), F.lit(2))).alias("modularity"))
+    m = float(e.count())
+    return per.agg(F.sum(F.col("inner") / m - F.pow(F.col("degree") / (2 * m), F.lit(2))).alias("modularity"))
 
 
 #: A component may have so many edges to be analysed as one group; larger ones are refused, not cut.

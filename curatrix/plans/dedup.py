@@ -115,5 +115,5 @@ SELECT least(floor((x - lo) / (hi - lo) * 20), 19) AS bin, count(*) AS n, round(
 def similarity_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Twenty bins between least and greatest value."""
     s = read(spark, d, "doc_evaluations").where("relevance_score is not null").select("eval_id", F.col("relevance_score").alias("x")).distinct()
-    r = F.broadcast(s.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
-    return s.join(r).groupBy(F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 20), F.lit(19)).cast("double").alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean"))
+    lo, hi = s.agg(F.min("x"), F.max("x")).first()
+    return s.groupBy(F.least(F.floor((F.col("x") - F.lit(lo)) / F.nullif(F.lit(hi) - F.lit(lo), F.lit(0.0)) * 20), F.lit(19)).cast("double").alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean"))

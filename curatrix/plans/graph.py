@@ -77,8 +77,8 @@ def kg_relation_spans(spark: SparkSession, d: str) -> DataFrame:
 @PLAN.add(f"WITH {_N}, {_E}, k AS (SELECT node, sum(i) AS in_degree, sum(o) AS out_degree FROM (SELECT src AS node, 0 AS i, 1 AS o FROM e UNION ALL SELECT dst, 1, 0 FROM e UNION ALL SELECT node, 0, 0 FROM n) GROUP BY 1) SELECT node, in_degree, out_degree, round(0.5 * (in_degree / max(in_degree) OVER () + out_degree / max(out_degree) OVER ()), 6) AS importance FROM k")
 def graph_degree(spark: SparkSession, d: str) -> DataFrame:
     k = G.degrees(edges(spark, d), nodes(spark, d).select("node"))
-    top = F.broadcast(k.agg(F.max("in_degree").alias("mi"), F.max("out_degree").alias("mo")))
-    return k.join(top).select("node", "in_degree", "out_degree", F.round(0.5 * (F.col("in_degree") / F.col("mi") + F.col("out_degree") / F.col("mo")), 6).alias("importance"))
+    mi, mo = (max(x or 0, 1) for x in k.agg(F.max("in_degree"), F.max("out_degree")).first())
+    return k.select("node", "in_degree", "out_degree", F.round(0.5 * (F.col("in_degree") / mi + F.col("out_degree") / mo), 6).alias("importance"))
 
 
 @PLAN.add(f"WITH {_N}, {_E}, x AS (SELECT subgraph_id, count(*) AS n, count(DISTINCT type) AS types FROM n GROUP BY 1), y AS (SELECT subgraph_id, count(*) AS m, count(DISTINCT relation) AS relations FROM e GROUP BY 1) SELECT subgraph_id, n, coalesce(m, 0) AS m, types, coalesce(relations, 0) AS relations, round(coalesce(m, 0) / nullif(n * (n - 1), 0), 6) AS density, CASE WHEN n <= 5 AND 2 * coalesce(m, 0) / n <= 2 THEN 'simple' WHEN n <= 10 AND 2 * coalesce(m, 0) / n <= 3 THEN 'medium' ELSE 'complex' END AS size_class FROM x LEFT JOIN y USING (subgraph_id)")
@@ -218,8 +218,8 @@ def star_sample(spark: SparkSession, d: str) -> DataFrame:
     """Stars: centres from the best-linked fifth of the nodes, five neighbours each, chosen by hash."""
     near = G.both_ways(edges(spark, d))
     deg = near.groupBy("node").agg(F.count("*").alias("degree"))
-    least = deg.agg(F.percentile_approx("degree", 0.8, 10_000).alias("least"))
-    centres = deg.join(F.broadcast(least)).where("degree >= least").select("node")
+    least = deg.agg(F.percentile_approx("degree", 0.8, 10_000)).first()[0]
+    centres = deg.where(F.col("degree") >= F.lit(least)).select("node")
     return G.ranked_sample(near.join(centres, "node", "left_semi"), 7, ["node"], "other", 5)
 
 

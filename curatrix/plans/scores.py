@@ -66,8 +66,8 @@ def score_stats(spark: SparkSession, d: str) -> DataFrame:
 def score_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Ten bins on 0..1, the last one closed; empty bins are listed."""
     counts = _scored(spark, d).groupBy(F.least(F.floor(F.col("total") * 10), F.lit(9)).cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
-    all_ = F.broadcast(counts.agg(F.sum("n").alias("all")))
-    return spark.range(10).withColumnRenamed("id", "bin").join(counts, "bin", "left").join(all_).select("bin", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("n", F.lit(0)) / F.col("all"), 6).alias("share"))
+    n = max(evaluations(spark, d).count(), 1)
+    return spark.range(10).withColumnRenamed("id", "bin").join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("n", F.lit(0)) / n, 6).alias("share"))
 
 
 @PLAN.add(f"WITH {_SCORED}, m AS (SELECT run_id, avg(total) AS m, stddev_pop(total) AS s FROM sc GROUP BY 1) SELECT eval_id, round((total - m) / s, 5) AS z, CASE WHEN total > m THEN 'high' ELSE 'low' END AS side FROM sc JOIN m USING (run_id) WHERE s > 0 AND abs((total - m) / s) > 2")

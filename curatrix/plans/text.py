@@ -195,12 +195,12 @@ def keyword_tf(spark: SparkSession, d: str) -> DataFrame:
 df AS (SELECT term, count(*) AS df FROM f GROUP BY 1), s AS (SELECT id, term, round(tf * ln((1 + (SELECT count(*) FROM qa)) / (1.0 + df)), 6) AS score FROM f JOIN df USING (term))
 SELECT id, term, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, term) AS k FROM s) WHERE k <= 10""")
 def keyword_tfidf(spark: SparkSession, d: str) -> DataFrame:
-    """Top ten terms of each answer by tf x idf. One explode and two aggregations; the document number is a one-row broadcast."""
+    """Top ten terms of each answer by tf x idf. One explode and two aggregations; the number of documents is one counted value."""
     pairs = qa(spark, d)
     f = pairs.select("id", F.explode(T.tokens(F.col("answer"))).alias("term")).where("length(term) > 1 and not term rlike '[0-9]'").groupBy("id", "term").agg(F.count("*").alias("tf"))
     df = f.groupBy("term").agg(F.count("*").alias("df"))
-    n = F.broadcast(pairs.agg(F.count("*").alias("docs")))
-    s = f.join(df, "term").join(n).select("id", "term", F.round(F.col("tf") * F.ln((1 + F.col("docs")) / (1 + F.col("df"))), 6).alias("score"))
+    n = pairs.count()
+    s = f.join(df, "term").select("id", "term", F.round(F.col("tf") * F.ln((1 + n) / (1 + F.col("df"))), 6).alias("score"))
     return s.withColumn("k", F.row_number().over(W.partitionBy("id").orderBy(F.desc("score"), "term"))).where("k <= 10").drop("k")
 
 
