@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .phrases import SENTENCES, SLOT_GRAMMAR
-from .sources import sample_rows, table
+from .sources import sample_rows, spread, table
 
 #: Documented bound: labelled rows from which the machines are trained.
 SAMPLE = 4000
@@ -213,7 +213,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
             p["segments"] = [[{"segment": s, "lang": g, "confidence": c} for s, g, c in model.languages(t)] for t in p["text"]]
             yield p.drop(columns=["text"])
 
-    return fields(spark, sf_dir).mapInPandas(label, "id string, language string, field string, label string, segments array<struct<segment string, lang string, confidence double>>")
+    return spread(fields(spark, sf_dir)).mapInPandas(label, "id string, language string, field string, label string, segments array<struct<segment string, lang string, confidence double>>")
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:

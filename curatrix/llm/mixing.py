@@ -94,10 +94,10 @@ def mixture(spark: SparkSession, sf_dir: str, seed: int = 1, size: float | None
 
 def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per listed source: target and actual share of the mix's tokens, tokens used, the greatest repeat, and whether the cap held it back."""
-    mix = mixture(spark, sf_dir).groupBy("source").agg(F.sum(F.col("n_tokens").cast("bigint") * F.col("repeats")).alias("used_tokens"), F.max("repeats").alias("most_repeats"))
-    total = mix.agg(F.sum("used_tokens").alias("all_tokens"))
+    mix = stored(mixture(spark, sf_dir).groupBy("source").agg(F.sum(F.col("n_tokens").cast("bigint") * F.col("repeats")).alias("used_tokens"), F.max("repeats").alias("most_repeats")))
+    total = max(mix.agg(F.sum("used_tokens")).first()[0] or 0, 1)
     given = table(spark, sf_dir, "source_weights").select("source", "target_weight", "max_repeats")
-    share = mix.join(F.broadcast(total)).select("source", "used_tokens", "most_repeats", (F.col("used_tokens") / F.col("all_tokens")).alias("share"))
+    share = mix.select("source", "used_tokens", "most_repeats", (F.col("used_tokens") / total).alias("share"))
     return given.join(share, "source", "left").select("source", "target_weight", "max_repeats", F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.round(F.coalesce("share", F.lit(0.0)), 6).alias("actual_share"))
 
 

@@ -25,7 +25,7 @@ from . import chargrams as C
 from . import phrases as P
 from .language import label_of, segments, words
 from .ngrams import CharModel, window_mean
-from .sources import sample_rows, table
+from .sources import sample_rows, spread, table
 from .truncation import Closings, cut_records
 
 SAMPLE = 3000
@@ -147,7 +147,7 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
             p["defect"] = judge.defects(p["question"].where(p["question"].notna(), None).tolist(), p["answer"].where(p["answer"].notna(), None).tolist())
             yield p.loc[p["defect"].notna(), ["id", "defect"]]
 
-    own = answers(spark, sf_dir).select("id", "question", "answer").mapInPandas(judged, "id string, defect string").distinct()
+    own = spread(answers(spark, sf_dir).select("id", "question", "answer")).mapInPandas(judged, "id string, defect string").distinct()
     texts = answers(spark, sf_dir).where("answer is not null").select(F.lit("qa_pairs").alias("table_name"), F.col("id").alias("record_id"), F.lit(0).alias("step_id"), "source", F.col("answer").alias("text"))
     cut = cut_records(texts, closings).select(F.col("record_id").alias("id"), F.lit("truncated_answer").alias("cut"))
     both = own.join(cut, "id", "full_outer")
@@ -158,6 +158,6 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def defect_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs and shares by defect (none: no defect)."""
     ids = table(spark, sf_dir, "qa_pairs").select("id").distinct()
+    total = max(ids.count(), 1)
     per = ids.join(found(spark, sf_dir), "id", "left").groupBy(F.coalesce("defect", F.lit("none")).alias("defect")).agg(F.count("*").alias("n_pairs"))
-    total = per.agg(F.sum("n_pairs").alias("total"))
-    return per.join(F.broadcast(total)).select("defect", "n_pairs", F.round(F.col("n_pairs") / F.col("total"), 6).alias("share"))
+    return per.select("defect", "n_pairs", F.round(F.col("n_pairs") / total, 6).alias("share"))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curatrix.operators.store import spread, stored
+
+__all__ = ["once", "sample_rows", "spread", "stored", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -19,25 +21,6 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the folder that all executors share (spark.checkpoint.dir), which cuts its lineage and is not recomputed if an executor is lost.
-
-    The folder is deleted when the application ends. Where none is set, a local master (tests) uses a temporary one.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.gettempdir()
-    path = f"{folder.rstrip('/')}/curatrix-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place = sc._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sample_rows(df: DataFrame, key: Column, size: int) -> list:
     """At most ``size`` rows, those with the smallest hashes of ``key``: a bounded, repeatable sample for fitting a classifier."""
     return df.orderBy(F.xxhash64(key), key).limit(size).collect()

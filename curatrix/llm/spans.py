@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chargrams as C
-from .sources import stored, table
+from .sources import spread, stored, table
 
 SPAN, GRAM, STEP = 200, 100, 25
 #: A set of at most so many document numbers (4 MB) is broadcast, a larger one joined by shuffle.
@@ -74,7 +74,7 @@ def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, step: int = STE
                 if rows_h:
                     yield pd.DataFrame({"hash": np.array(rows_h, dtype=np.uint64).view(np.int64), "doc_id": rows_id, "keys": rows_k})
 
-    return docs.where(F.length("text") >= span).select("doc_id", "text").mapInPandas(find, "hash bigint, doc_id bigint, keys array<bigint>")
+    return spread(docs.where(F.length("text") >= span).select("doc_id", "text")).mapInPandas(find, "hash bigint, doc_id bigint, keys array<bigint>")
 
 
 def shared_keys(docs: DataFrame) -> DataFrame:
