@@ -132,9 +132,6 @@ def fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p8_found: spec_id, doc_id of the documents that are split because they exceed the capacity alone."""
-    limits = specs(spark, sf_dir)
-    if not limits:
-        return spark.createDataFrame([], "spec_id int, doc_id bigint")
-    given = F.explode(F.array(*[F.struct(F.lit(r.spec_id).alias("spec_id"), F.lit(r.capacity_tokens).alias("capacity")) for r in limits])).alias("s")
-    return lengths(spark, sf_dir).select("doc_id", "n_tokens", given).where("n_tokens > s.capacity").select("s.spec_id", "doc_id").distinct()
+    """p8_found: spec_id, doc_id of the documents that the packing splits because they exceed the capacity alone: more than one piece, each with a container."""
+    pieces = packed(spark, sf_dir).groupBy("spec_id", "doc_id").agg(F.max("piece_no").alias("pieces"), F.count_if(F.col("container").isNull()).alias("unplaced"))
+    return pieces.where("pieces > 1 and unplaced = 0").select("spec_id", "doc_id")
