@@ -74,7 +74,11 @@ def mixture(spark: SparkSession, sf_dir: str, seed: int = 1, size: float | None
     docs = stored(lengths(spark, sf_dir))
     shares = weights(spark, sf_dir)
     total = totals(docs, shares)
-    fill(shares, size or total)
+    return mixed(docs, fill(shares, size or total), seed)
+
+
+def mixed(docs: DataFrame, shares: list[Share], seed: int = 1) -> DataFrame:
+    """The rows of ``mixture`` for filled shares; ``docs`` must be a stored table."""
     rows = [(s.source, int(s.size // s.tokens), float(s.size % s.tokens), s.repeats) for s in shares if s.tokens and s.size > 0]
     if not rows:
         return docs.where("false").withColumn("repeats", F.lit(0))
@@ -102,8 +106,14 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p9_found: the listed sources that cannot reach their target."""
-    given = weights(spark, sf_dir)
-    total = totals(lengths(spark, sf_dir), given)
-    short = [(s.source,) for s in given if s.repeats * s.tokens < s.weight * total]
+    """p9_found: the listed sources that cannot reach their target.
+
+    Those of which the mixture holds fewer tokens than the target, verified on the tokens that all their repeats allow. The mixture never exceeds
+    the repeats, so it is short of every such source.
+    """
+    docs, given = stored(lengths(spark, sf_dir)), weights(spark, sf_dir)
+    total = totals(docs, given)
+    mix = mixed(docs, fill(given, total)).groupBy("source").agg(F.sum(F.col("n_tokens").cast("bigint") * F.col("repeats")).alias("n"))
+    used = {r.source: r.n or 0 for r in mix.collect()}  # at most the listed sources
+    short = [(s.source,) for s in given if used.get(s.source, 0) < s.weight * total and s.repeats * s.tokens < s.weight * total]
     return spark.createDataFrame(short, "source string")
