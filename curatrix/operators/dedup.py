@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,10 @@ from .store import spread, stored
 #: Multipliers of the min-hash family are drawn from this modulus, a prime under 2^31, so that no product leaves a bigint.
 PRIME = 2147483647
 PERMUTATIONS, BANDS, SHINGLE, SIMILAR = 64, 16, 5, 0.8
+_CJK = "㐀-䶿一-鿿豈-﫿"
+#: Words with all their letters, CJK by character; and overlapping pairs of CJK characters.
+WORD = rf"[{_CJK}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{_CJK}]]+"
+PAIR = rf"(?=([{_CJK}]{{2}}))"
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -48,10 +52,29 @@ def hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % F.lit(PRIME))
 
 
-def shingled(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, shingles: distinct hashes of word runs of the preprocessed text; texts with fewer words have none."""
-    words = F.filter(F.split(T.preprocess(F.col("text")), " "), lambda w: w != "")
-    return docs.select("doc_id", F.array_distinct(T.let(T.ngrams(words, size, " "), hashed)).alias("shingles")).where("size(shingles) > 0")
+def blank_words(c: Column) -> Column:
+    """Words of the preprocessed text as blanks part them: Chinese is left whole between punctuation marks, accented letters part words."""
+    return F.filter(F.split(T.preprocess(c), " "), lambda w: w != "")
+
+
+def _untagged(c: Column) -> Column:
+    """Lower case without tags, links and addresses (as in ``text.preprocess``), all letters kept."""
+    return F.lower(T.replaced(c, ("<[^>]+>", ""), (T.URL, ""), (r"(?<!\S)\S+@\S+", "")))
+
+
+def words(c: Column) -> Column:
+    """Words with all their letters, CJK by character; the same as ``blank_words`` where there are only a-z and digits."""
+    return T.found(_untagged(c), WORD)
+
+
+def terms(c: Column) -> Column:
+    """Terms for TF-IDF: ``words``, with the pairs of neighbouring characters as words of CJK text."""
+    return T.let(_untagged(c), lambda t: F.concat(T.found(t, WORD), F.regexp_extract_all(t, F.lit(PAIR), F.lit(1))))
+
+
+def shingled(docs: DataFrame, size: int = SHINGLE, split: Callable[[Column], Column] = words) -> DataFrame:
+    """doc_id, shingles: distinct hashes of word runs of the text; texts with fewer words have none."""
+    return docs.select("doc_id", F.array_distinct(T.let(T.ngrams(split(F.col("text")), size, " "), hashed)).alias("shingles")).where("size(shingles) > 0")
 
 
 def banded(sets: DataFrame, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:
@@ -129,8 +152,8 @@ def components(links: DataFrame, a: str = "doc_id", b: str = "other", rounds: in
 
 
 def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of its class), n_links of every document with text: exact copies join their first text, near-copies its component."""
-    fp = stored(spread(docs.select("doc_id", "text").where("text is not null")).select("doc_id", F.md5(T.preprocess(F.col("text"))).alias("fp")))
+    """doc_id, class_id (smallest doc_id of its class), n_links of every document with text: copies with the same words join their first text, near-copies its component."""
+    fp = stored(spread(docs.select("doc_id", "text").where("text is not null")).select("doc_id", F.md5(F.array_join(words(F.col("text")), " ")).alias("fp")))
     exact = stored(representatives(fp, "fp"))
     first = docs.select("doc_id", "text").join(exact.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi")
     links = stored(similar_links(first, similar).select("doc_id", "other"))
@@ -140,9 +163,9 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return of.select("doc_id", F.coalesce("component", "representative").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def tfidf(docs: DataFrame, least_df: int = 2, most_df: float = 0.95) -> DataFrame:
+def tfidf(docs: DataFrame, least_df: int = 2, most_df: float = 0.95, split: Callable[[Column], Column] = blank_words) -> DataFrame:
     """doc_id, term, w: L2-normalised tf x (ln((1+n)/(1+df))+1) of terms of two or more letters in at least ``least_df`` and at most a share of documents."""
-    words = spread(docs).select("doc_id", F.explode(F.split(T.preprocess(F.col("text")), " ")).alias("term")).where("length(term) >= 2")
+    words = spread(docs).select("doc_id", F.explode(split(F.col("text"))).alias("term")).where("length(term) >= 2")
     tf = stored(words.groupBy("doc_id", "term").agg(F.count("*").alias("tf")))
     n = docs.count()
     df = tf.groupBy("term").agg(F.count("*").alias("df")).where((F.col("df") >= least_df) & (F.col("df") <= most_df * n))
@@ -168,7 +191,7 @@ def three_stage(docs: DataFrame, similar: float = 0.7) -> DataFrame:
     left = stored(docs.join(fp.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi"))
     pairs = stored(candidates(stored(shingled(left)), 0.5))
     used = stored(pairs.select(F.explode(F.array("doc_id", "other")).alias("doc_id")).distinct())
-    weights = stored(tfidf(left).join(used, "doc_id", "left_semi"))
+    weights = stored(tfidf(left, split=terms).join(used, "doc_id", "left_semi"))
     two = cosine_of(pairs, weights).where(F.col("similarity") >= similar).select(F.col("doc_id").alias("duplicate_id"), F.col("other").alias("representative_id"), F.round("similarity", 6).alias("similarity"), F.lit("tfidf").alias("method"), F.lit(2).alias("stage"))
     best = F.min_by(F.struct("representative_id", "similarity", "method"), F.struct("stage", "representative_id")).alias("b")
     return one.unionByName(two).groupBy("duplicate_id").agg(best).select("duplicate_id", "b.*")
