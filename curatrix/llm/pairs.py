@@ -13,7 +13,6 @@ that are only a value or code are no cases; a repeated row is one pair.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,41 +22,15 @@ from pyspark.sql import functions as F
 
 from . import chargrams as C
 from . import phrases as P
+from .content import copies, is_empty
 from .language import label_of, segments, words
-from .ngrams import CharModel, window_mean
+from .ngrams import CharModel, normal, window_mean
 from .sources import sample_rows, spread, table
-from .truncation import Closings, cut_records
+from .truncation import answers as texts
+from .truncation import cut_records, model_for
 
 SAMPLE = 3000
 LANGS = ("zh", "en", "de", "fr", "es")
-#: What stands for "nothing" in exports.
-NOTHING = set("null none nil na n/a nan undefined empty blank tbd todo 无 空 暂无 没有 keine leer aucun aucune vide ninguno ninguna vacío".split())
-#: Labels that may stand before a copied question.
-_PREFIX = re.compile(r"^\s*(?:q|question|frage|pregunta|问题|问|prompt|user|a|answer|antwort|réponse|respuesta|答案|答)\s*[:：]\s*", re.I)
-_ENDING = re.compile(r"(?<=[。！？!?.])\s*|\n+")
-
-
-def is_empty(answer: str | None) -> bool:
-    """Null, or nothing that says anything: no letter or digit, or a word that stands for nothing."""
-    if answer is None:
-        return True
-    core = re.sub(r"^[\W_]+|[\W_]+$", "", unicodedata.normalize("NFKC", answer)).casefold()
-    return core == "" or core in NOTHING
-
-
-def bare(text: str) -> str:
-    """Letters and digits of a text in one form of width and case."""
-    return re.sub(r"[\W_]+", "", unicodedata.normalize("NFKC", text).casefold())
-
-
-def copies(question: str | None, answer: str) -> bool:
-    """The answer is the question and nothing else, apart from case, width, spacing, punctuation and a label before it."""
-    if not question:
-        return False
-    q = bare(question)
-    return bool(q) and q in (bare(answer), bare(_PREFIX.sub("", answer)))
-
-
 class Judge:
     """Refusal windows and language posteriors."""
 
@@ -86,15 +59,16 @@ class Judge:
         return cls(kept, [t for t, r in zip(prose, refused) if not r])
 
     def refusals(self, answers: list[str]) -> np.ndarray:
-        """True where windows likelier in refusals cover most of the answer, and no number gives it content."""
+        """True where windows likelier in refusals cover most of the answer, and no number outside them gives it content."""
         out = np.zeros(len(answers), dtype=bool)
         for s in C.batches(answers):
             part = [re.sub(r"\w*[A-Za-z]\d[\d-]*", "§", t) for t in answers[s]]
             w, offsets = self.refusal.positions(part)
             ratio = w[0] - w[1]
-            cover = np.add.reduceat(window_mean(ratio, offsets, 12) > 0, offsets[:-1], dtype=np.int64) / np.diff(offsets)
-            mean = np.add.reduceat(ratio, offsets[:-1])
-            out[s] = [c >= 0.5 and m > 0 and not re.search(r"\d", t) for c, m, t in zip(cover, mean, part)]
+            hit = window_mean(ratio, offsets, 12) > 0
+            said = np.add.reduceat((normal(part)[0] == 48) & ~hit, offsets[:-1], dtype=np.int64)  # digits
+            cover = np.add.reduceat(hit, offsets[:-1], dtype=np.int64) / np.diff(offsets)
+            out[s] = (cover >= 0.5) & (np.add.reduceat(ratio, offsets[:-1]) > 0) & (said == 0)
         return out
 
     def languages(self, texts: list[str]) -> list[set[str]]:
@@ -121,35 +95,35 @@ class Judge:
             else:
                 open_.append(i)
         refused = self.refusals([answers[i] for i in open_])
-        asked = self.languages([questions[i] or "" for i in open_])
-        said = self.languages([answers[i] for i in open_])
-        for i, r, q, a in zip(open_, refused, asked, said):
+        # posteriors of whole texts first; only pairs that they hold to differ are read segment by segment
+        unlike = [i for i, k in zip(open_, self.differ([questions[i] or "" for i in open_], [answers[i] for i in open_])) if k]
+        asked = dict(zip(unlike, self.languages([questions[i] or "" for i in unlike])))
+        said = dict(zip(unlike, self.languages([answers[i] for i in unlike])))
+        for i, r in zip(open_, refused):
             if r:
                 out[i] = "refusal"
-            elif q and len(a) == 1 and not a & q:
+            elif i in asked and asked[i] and len(said[i]) == 1 and not said[i] & asked[i]:
                 out[i] = "other_language"
         return out
 
-
-def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "qa_pairs").select("id", "question", "answer", F.col("metadata.source").alias("source"))
+    def differ(self, questions: list[str], answers: list[str]) -> np.ndarray:
+        """True where prompt and response have different languages of greatest posterior."""
+        best = [np.concatenate([self.langs.totals(x[s]).argmax(axis=1) for s in C.batches(x)] or [np.zeros(0, dtype=np.int64)]) for x in (questions, answers)]
+        return best[0] != best[1]
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p3_found: id, defect."""
-    qa = table(spark, sf_dir, "qa_pairs")
-    rows = sample_rows(qa.select("id", "question", "answer", "language"), F.col("id"), SAMPLE)
-    judge = Judge.fit(rows)
-    closings = Closings.fit([t for r in rows for t in (r.question, r.answer) if t])
+    qa = table(spark, sf_dir, "qa_pairs").select("id", "question", "answer", "language")
+    judge = Judge.fit(sample_rows(qa, F.col("id"), SAMPLE))
 
     def judged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             p["defect"] = judge.defects(p["question"].where(p["question"].notna(), None).tolist(), p["answer"].where(p["answer"].notna(), None).tolist())
             yield p.loc[p["defect"].notna(), ["id", "defect"]]
 
-    own = spread(answers(spark, sf_dir).select("id", "question", "answer")).mapInPandas(judged, "id string, defect string").distinct()
-    texts = answers(spark, sf_dir).where("answer is not null").select(F.lit("qa_pairs").alias("table_name"), F.col("id").alias("record_id"), F.lit(0).alias("step_id"), "source", F.col("answer").alias("text"))
-    cut = cut_records(texts, closings).select(F.col("record_id").alias("id"), F.lit("truncated_answer").alias("cut"))
+    own = spread(qa.select("id", "question", "answer")).mapInPandas(judged, "id string, defect string").distinct()
+    cut = cut_records(texts(spark, sf_dir), model_for(spark, sf_dir)).select(F.col("record_id").alias("id"), F.lit("truncated_answer").alias("cut"))
     both = own.join(cut, "id", "full_outer")
     first = F.when(F.col("defect").isin("empty_answer", "copies_question"), F.col("defect"))
     return both.select("id", F.coalesce(first, "cut", "defect").alias("defect"))
