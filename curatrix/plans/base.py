@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,38 @@ EVALUATIONS = """ev AS (
 #: Word tokens of both engines: runs of Latin letters and digits, and single CJK characters, in lower case.
 TOKEN = "[a-z0-9]+|[一-鿿]"
 TOKENS = "regexp_extract_all(lower({0}), '[a-z0-9]+|[一-鿿]')"
+
+
+def draw(seed: str, *key: Column | str) -> Column:
+    """A number below 2^32 from the md5 of a seed and a key: the free choice of both engines (see DRAW)."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *key)), 1, 8), 16, 10).cast("bigint")
+
+
+def unit(seed: str, *key: Column | str) -> Column:
+    """The same as a share of one."""
+    return draw(seed, *key) / F.lit(4294967296.0)
+
+
+def chosen(values: Sequence[str], seed: str, *key: Column | str) -> Column:
+    """One of the values."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(seed, *key) % len(values) + 1).cast("int"))
+
+
+def DRAW(seed: str, key: str) -> str:
+    return f"CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 8)) AS BIGINT)"
+
+
+def UNIT(seed: str, key: str) -> str:
+    return f"({DRAW(seed, key)} / 4294967296.0)"
+
+
+def CHOSEN(values: Sequence[str], seed: str, key: str) -> str:
+    quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return f"([{quoted}])[{DRAW(seed, key)} % {len(values)} + 1]"
+
+
+def when_table(column: Column, table: dict, default: Column) -> Column:
+    """The value of a small fixed table, or the default."""
+    for k, v in reversed(table.items()):
+        default = F.when(column == k, F.lit(v)).otherwise(default)
+    return default
