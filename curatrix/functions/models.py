@@ -12,7 +12,20 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from . import rules, text
 
-TOKENIZERS: dict[str, Callable[[Column], Column]] = {"default": text.tokens}
+#: Tokens of the tokenizer "pairs": words, and CJK text in pairs of characters, as most of its words are.
+PAIRS = "[a-z0-9]+|[一-鿿]{2}|[一-鿿]"
+#: Endings of verbs, for the default tagger.
+VERB_ENDS = "(造|作|理|测|查|修|护|产|ates|ated|ures|ured|aces|aced|eeds|ept)$"
+TOKENIZERS: dict[str, Callable[[Column], Column]] = {"default": text.tokens, "pairs": lambda c: text.found(F.lower(c), PAIRS)}
+
+
+def by_ending(tokens: Column) -> Column:
+    """array<struct<token, tag>>: v for words with a verb's ending, n for other words of two or more letters, x for the rest."""
+    kind = lambda t: F.when(t.rlike(VERB_ENDS), "v").when((F.length(t) > 1) & ~t.rlike("^[0-9]+$"), "n").otherwise("x")
+    return F.transform(tokens, lambda t: F.struct(t.alias("token"), kind(t).alias("tag")))
+
+
+TAGGERS: dict[str, Callable[[Column], Column]] = {"default": by_ending}
 ENCODERS: dict[str, Callable[[Column], Column]] = {}
 JUDGES: dict[str, Callable[[Column, Column], Column]] = {"rules": rules.rule_score}
 

@@ -10,6 +10,8 @@ from pyspark.sql.window import Window as W
 
 from curatrix.functions import text as T
 
+from .store import stored
+
 PARTS = 4096
 
 
@@ -56,6 +58,20 @@ def distribute(total: int, weights: Sequence[float]) -> list[int]:
     return out
 
 
+def distributed(df: DataFrame, total: int, weight: str, *keys: str) -> DataFrame:
+    """Adds rows: whole parts of ``total`` by weight, what is left going to the largest remainders (ties by the keys).
+
+    The spare ones, fewer than there are rows, are found by a top-k; no window orders all rows. Without any weight every row gets 0.
+    """
+    df = stored(df)
+    all_ = df.agg(F.sum(weight)).first()[0] or 0
+    exact = F.col(weight) * float(total) / F.lit(float(all_ or 1))
+    parts = df.withColumn("base_", F.floor(exact + 1e-9)).withColumn("more_", F.round(exact - F.col("base_"), 9))
+    spare = total - (parts.agg(F.sum("base_")).first()[0] or 0) if all_ else 0
+    first = parts.orderBy(F.desc("more_"), *keys).limit(int(spare)).select(*keys, F.lit(1).alias("one_"))
+    return parts.join(first, list(keys), "left").withColumn("rows", (F.col("base_") + F.coalesce("one_", F.lit(0))).cast("bigint")).drop("base_", "more_", "one_")
+
+
 #: Fields of a stored judgement.
 JUDGEMENT = "relevance double, accuracy double, completeness double, clarity double, depth double, score double, reason string"
 

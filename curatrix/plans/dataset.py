@@ -101,10 +101,9 @@ def ensemble_average(spark: SparkSession, d: str) -> DataFrame:
 
 @PLAN.add("WITH x AS (SELECT *, 1000 * target_percent / 100.0 / 12 AS exact FROM sample_targets), y AS (SELECT *, floor(exact) AS base FROM x), z AS (SELECT *, row_number() OVER (ORDER BY exact - base DESC, question_type, difficulty) AS k, (SELECT round(sum(exact)) - sum(floor(exact)) FROM x) AS spare FROM y) SELECT question_type, difficulty, (base + CASE WHEN k <= spare THEN 1 ELSE 0 END)::BIGINT AS rows FROM z".replace(" / 12", ""))
 def distribute_counts(spark: SparkSession, d: str) -> DataFrame:
-    """A thousand rows given out by target percentages, remainders by size. The targets are a given short list."""
-    rows = read(spark, d, "sample_targets").orderBy("question_type", "difficulty").limit(10_000).collect()
-    n = S.distribute(1000, [r.target_percent for r in rows])
-    return spark.createDataFrame([(r.question_type, r.difficulty, k) for r, k in zip(rows, n)], "question_type string, difficulty string, rows bigint")
+    """A thousand rows given out by target percentages, remainders by size."""
+    df = read(spark, d, "sample_targets").select("question_type", "difficulty", "target_percent")
+    return S.distributed(df, 1000, "target_percent", "question_type", "difficulty").select("question_type", "difficulty", "rows")
 
 
 @PLAN.add("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total FROM (SELECT DISTINCT event_id, event_type, ts, user_id, value FROM events) GROUP BY 1, 2")
@@ -117,5 +116,4 @@ def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
 @PLAN.add(f"WITH {QA} SELECT category, source, count(*) AS n, round(avg(length(answer)), 6) AS answer_length FROM qa GROUP BY GROUPING SETS ((category), (source), ())")
 def grouped_totals(spark: SparkSession, d: str) -> DataFrame:
     """Several groupings in one pass."""
-    qa(spark, d).createOrReplaceTempView("qa_once")
-    return spark.sql("SELECT category, source, count(*) AS n, round(avg(length(answer)), 6) AS answer_length FROM qa_once GROUP BY GROUPING SETS ((category), (source), ())")
+    return spark.sql("SELECT category, source, count(*) AS n, round(avg(length(answer)), 6) AS answer_length FROM {qa} GROUP BY GROUPING SETS ((category), (source), ())", qa=qa(spark, d))
