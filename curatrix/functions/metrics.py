@@ -56,15 +56,18 @@ def bleu(reference: Column, candidate: Column, most: int = 2, epsilon: float = 0
 
 @F.pandas_udf(DoubleType())
 def rouge_l(reference: pd.Series, candidate: pd.Series) -> pd.Series:
-    """ROUGE-L F-measure: longest common subsequence by two rows of the table (no built-in expresses it)."""
+    """ROUGE-L F-measure: longest common subsequence, bit-parallel over the tokens of the reference (no built-in expresses it)."""
 
     def lcs(a, b) -> int:
-        row = [0] * (len(b) + 1)
-        for x in a:
-            last = 0
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-        return row[-1]
+        # one bit for each token of a; a step for each token of b (bits of the row of the table that grow)
+        places: dict = {}
+        for i, x in enumerate(a):
+            places[x] = places.get(x, 0) | 1 << i
+        full = row = (1 << len(a)) - 1
+        for y in b:
+            hit = row & places.get(y, 0)
+            row = (row + hit | row - hit) & full
+        return len(a) - row.bit_count()
 
     return pd.Series([2 * lcs(a, b) / (len(a) + len(b)) if a is not None and b is not None and len(a) and len(b) else 0.0 for a, b in zip(reference, candidate)])
 

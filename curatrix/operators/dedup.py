@@ -12,7 +12,7 @@ from pyspark.sql.window import Window as W
 
 from curatrix.functions import text as T
 
-from .store import spread, stored
+from .store import dropped, spread, stored
 
 #: Multipliers of the min-hash family are drawn from this modulus, a prime under 2^31, so that no product leaves a bigint.
 PRIME = 2147483647
@@ -127,26 +127,26 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "doc_id").join(y, "other").select("doc_id", "other", (F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))).alias("similarity"))
 
 
-def components(links: DataFrame, a: str = "doc_id", b: str = "other", rounds: int = 50) -> DataFrame:
+def components(links: DataFrame, a: str = "doc_id", b: str = "other") -> DataFrame:
     """node, component (its smallest node) of an undirected graph, by alternating large-star and small-star steps.
 
-    The number of rounds is logarithmic in the longest chain; every round is stored, and the loop ends when nothing changes. Isolated
-    nodes are not listed; an empty graph gives no rows.
+    The number of rounds is logarithmic in the longest chain. Every round is stored in place of the one before, and the loop ends when a round changes
+    nothing, which the sums of hashes of its edges tell. Isolated nodes are not listed; an empty graph gives no rows.
     """
     edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct())
-    for _ in range(rounds):
+    state = None
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v")))
-        new = stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        same = new.count() == edges.count() and new.exceptAll(edges).isEmpty()
-        edges = new
-        if same:
+        edges = dropped(edges, stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+        hashes = F.xxhash64("u", "v")
+        now = edges.agg(F.count("*"), F.sum(hashes.bitwiseAND(F.lit((1 << 31) - 1))), F.sum(F.shiftright(hashes, 33))).first()
+        if now == state:
             break
-    else:
-        raise RuntimeError("components did not settle")
+        state = now
     heads = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads).distinct()
 
@@ -154,15 +154,32 @@ def components(links: DataFrame, a: str = "doc_id", b: str = "other", rounds: in
 def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its class), n_links of every document with text: copies with the same words join their first text, near-copies its component."""
     fp = stored(spread(docs.select("doc_id", "text").where("text is not null")).select("doc_id", F.md5(F.array_join(words(F.col("text")), " ")).alias("fp")))
+    return classes_of(fp, lambda first: shingled(spread(docs.select("doc_id", "text").join(first, "doc_id", "left_semi"))), similar)
+
+
+def classes_of(fp: DataFrame, features: Callable[[DataFrame], DataFrame], similar: float = SIMILAR) -> DataFrame:
+    """``near_classes`` from fingerprints (doc_id, fp; a stored table) and the shingle sets that ``features`` gives of the first documents (doc_id) of each fingerprint."""
     exact = stored(representatives(fp, "fp"))
-    first = docs.select("doc_id", "text").join(exact.where("doc_id = representative").select("doc_id"), "doc_id", "left_semi")
-    links = stored(similar_links(first, similar).select("doc_id", "other"))
+    sets = stored(features(exact.where("doc_id = representative").select("doc_id")))
+    links = stored(verified(candidates(sets, similar), sets).where(F.col("similarity") >= similar).select("doc_id", "other"))
     comp = components(links)
     degree = links.select(F.explode(F.array("doc_id", "other")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = exact.join(comp.withColumnRenamed("node", "representative"), "representative", "left").join(degree.withColumnRenamed("node", "representative"), "representative", "left")
     return of.select("doc_id", F.coalesce("component", "representative").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def ngram_weights(tokens: DataFrame, features: int) -> DataFrame:
+    """doc_id, term, w: L2-normalised TF-IDF of (doc_id, w: tokens) over words and pairs of words; features are the ``features`` terms of greatest total count (ties by term)."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))
+    terms_ = F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")))
+    tf = stored(spread(tokens).select("doc_id", F.explode(terms_).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf")))
+    n = tokens.count()
+    known = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("all_")).orderBy(F.desc("all_"), "term").limit(features)
+    raw = tf.join(known, "term").select("doc_id", "term", (F.col("tf") * (F.ln((1 + n) / (1 + F.col("df"))) + 1)).alias("w"))
+    norm = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("w"))
+
+
 def tfidf(docs: DataFrame, least_df: int = 2, most_df: float = 0.95, split: Callable[[Column], Column] = blank_words) -> DataFrame:
     """doc_id, term, w: L2-normalised tf x (ln((1+n)/(1+df))+1) of terms of two or more letters in at least ``least_df`` and at most a share of documents."""
     words = spread(docs).select("doc_id", F.explode(split(F.col("text"))).alias("term")).where("length(term) >= 2")

@@ -25,7 +25,19 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     place = sc._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``new``, after the stored table ``old`` is deleted: for loops, where a round's table replaces the one before and nothing else reads that one."""
+    path = getattr(old, "stored_at", None)
+    if path and path != getattr(new, "stored_at", None):
+        sc = old.sparkSession.sparkContext
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+    return new
 
 
 def spread(df: DataFrame) -> DataFrame:

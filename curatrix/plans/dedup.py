@@ -117,3 +117,42 @@ def similarity_histogram(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "doc_evaluations").where("relevance_score is not null").select("eval_id", F.col("relevance_score").alias("x")).distinct()
     lo, hi = s.agg(F.min("x"), F.max("x")).first()
     return s.groupBy(F.least(F.floor((F.col("x") - F.lit(lo)) / F.nullif(F.lit(hi) - F.lit(lo), F.lit(0.0)) * 20), F.lit(19)).cast("double").alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean"))
+
+
+KEYWORDS, KEY_PERMUTATIONS, FEATURES = 30, 128, 10_000
+_KEYWORD_SETS = f"""kc AS (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS.format("coalesce(text, '') || ' ' || coalesce(title, '')")}) AS w FROM documents) WHERE length(w) > 1 OR regexp_matches(w, '[一-鿿]') GROUP BY 1, 2),
+kr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, w) AS k FROM kc), ks AS (SELECT doc_id, list(w ORDER BY k) AS words, list(CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {D.PRIME} ORDER BY k) AS h FROM kr WHERE k <= {KEYWORDS} GROUP BY 1)"""
+
+
+def keyword_sets(docs: DataFrame, most: int = KEYWORDS) -> DataFrame:
+    """doc_id, words: the ``most`` commonest tokens of text and title (ties by token), single letters left out. Documents without any are left out."""
+    both = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.coalesce("title", F.lit("")))
+    w = docs.select("doc_id", F.explode(T.tokens(both)).alias("w")).where("length(w) > 1 or w rlike '[一-鿿]'")
+    tf = w.groupBy("doc_id", "w").agg(F.count("*").alias("tf"))
+    first = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("tf")).alias("less"), "w"))), 1, most)  # the distinct tokens of one document
+    return tf.groupBy("doc_id").agg(F.transform(first, lambda s: s["w"]).alias("words"))
+
+
+@PLAN.add(f"WITH {_KEYWORD_SETS} SELECT doc_id, len(words) AS n_keywords, md5(array_to_string([{', '.join(_minhash(i) for i in range(KEY_PERMUTATIONS))}], ',')) AS signature, {_minhash(0)} AS m0 FROM ks")
+def keyword_minhash(spark: SparkSession, d: str) -> DataFrame:
+    """Min-hash signature of 128 permutations over each document's thirty commonest tokens."""
+    s = keyword_sets(_docs(spark, d)).select("doc_id", F.size("words").cast("bigint").alias("n_keywords"), T.let(D.hashed(F.col("words")), lambda h: D.signature(h, KEY_PERMUTATIONS)).alias("s"))
+    return s.select("doc_id", "n_keywords", F.md5(F.array_join(F.transform("s", lambda x: x.cast("string")), ",")).alias("signature"), F.col("s")[0].alias("m0"))
+
+
+@PLAN.add()
+def keyword_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """One row per document with its class and links by the thirty commonest tokens (similarity 0.8 or more of the sets)."""
+    docs = _docs(spark, d)
+    words = stored(keyword_sets(docs))
+    fp = stored(words.select("doc_id", F.md5(F.array_join(F.array_sort("words"), " ")).alias("fp")))
+    return D.classes_of(fp, lambda first: words.join(first, "doc_id", "left_semi").select("doc_id", D.hashed(F.col("words")).alias("shingles")))
+
+
+@PLAN.add(f"""WITH w AS (SELECT doc_id, {TOKENS.format('text')} AS w FROM documents WHERE text IS NOT NULL), t AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w), c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+n AS (SELECT count(*) AS n FROM w), v AS (SELECT term, count(*) AS df, sum(tf) AS all_ FROM c GROUP BY 1 ORDER BY all_ DESC, term LIMIT {FEATURES}), r AS (SELECT doc_id, term, tf * (ln((1 + n) / (1.0 + df)) + 1) AS x FROM c JOIN v USING (term), n),
+o AS (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM r GROUP BY 1) SELECT doc_id, count(*) AS n_terms, round(max(x / norm), 6) AS top, round(sum(x / norm), 4) AS weight FROM r JOIN o USING (doc_id) GROUP BY 1""")
+def tfidf_ngrams(spark: SparkSession, d: str) -> DataFrame:
+    """TF-IDF over words and pairs of words, with the commonest 10,000 terms as features (the bound is the operator's parameter)."""
+    w = _docs(spark, d).where("text is not null").select("doc_id", T.tokens(F.col("text")).alias("w"))
+    return D.ngram_weights(w, FEATURES).groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.max("w"), 6).alias("top"), F.round(F.sum("w"), 4).alias("weight"))

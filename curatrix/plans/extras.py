@@ -9,10 +9,10 @@ from pyspark.sql.window import Window as W
 from curatrix.functions import text as T
 from curatrix.functions.models import ENCODERS
 from curatrix.operators import graph as G
-from curatrix.operators.store import stored
+from curatrix.operators.store import dropped, stored
 
-from .base import QA, STEPS, TOKENS, Plan, qa, read, steps
-from .graph import _E, edges, nodes
+from .base import DRAW, QA, STEPS, TOKENS, Plan, draw, qa, read, steps
+from .graph import _E, _U, edges, nodes
 
 PLAN = Plan()
 QUERIES, SQL = PLAN.queries, PLAN.sql
@@ -49,7 +49,14 @@ def sample_lines(spark: SparkSession, d: str) -> DataFrame:
     return df.select("doc_id", "s.pos", F.md5("s.line").alias("line"))
 
 
-@PLAN.add()
+def _end(b: str) -> str:
+    part = f"substr(text, {b} + 501, 500)"
+    tail = f"length(regexp_extract({part}, '[^。！？.!?\\n]*$'))"
+    return f"CASE WHEN {b} + 1000 >= n THEN n WHEN {tail} < length({part}) THEN {b} + 500 + length({part}) - {tail} ELSE {b} + 1000 END"
+
+
+@PLAN.add(f"""WITH RECURSIVE t AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE text <> ''), r(doc_id, chunk, b, f) AS (SELECT doc_id, 0, 0::BIGINT, {_end('0')} FROM t UNION ALL SELECT doc_id, chunk + 1, c, {_end('c')} FROM (SELECT r.doc_id, r.chunk, greatest(r.f - 100, r.b + 1) AS c, t.text, t.n FROM r JOIN t USING (doc_id) WHERE r.f < t.n))
+SELECT doc_id, chunk, substr(text, b + 1, f - b) AS content FROM r JOIN t USING (doc_id)""")
 def sliding_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping chunks that end at a sentence end in their second half where there is one, and always advance."""
     import pandas as pd
@@ -137,25 +144,22 @@ def adjacency(spark: SparkSession, d: str) -> DataFrame:
     return G.both_ways(edges(spark, d)).select(F.col("node").alias("src"), F.col("other").alias("dst"))
 
 
-@PLAN.add()
+def _level(i: int) -> str:
+    return f"t{i} AS MATERIALIZED (SELECT * FROM t{i - 1} UNION ALL SELECT t.root, w.other, arg_min(t.node, (md5('{i}:' || t.node || ':' || w.other), t.node)), {i} FROM t{i - 1} t JOIN w ON w.node = t.node WHERE t.depth = {i - 1} AND NOT EXISTS (SELECT 1 FROM t{i - 1} q WHERE q.root = t.root AND q.node = w.other) GROUP BY 1, 2)"
+
+
+@PLAN.add(f"WITH {_E}, {_U}, t0 AS (SELECT DISTINCT node AS root, node, NULL::VARCHAR AS parent, 0 AS depth FROM w WHERE {DRAW('11', 'node')} % 25 = 0), " + ", ".join(_level(i) for i in (1, 2, 3)) + " SELECT root, node, parent, depth FROM t3")
 def tree_sample(spark: SparkSession, d: str) -> DataFrame:
     """Breadth-first trees of depth three from hashed roots: every reached node keeps one parent, the one of the smallest hash."""
     near = stored(G.both_ways(edges(spark, d)))
-    tree = stored(near.select("node").distinct().where(F.pmod(F.xxhash64(F.lit(11), "node"), F.lit(25)) == 0).select(F.col("node").alias("root"), "node", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("depth")))
+    tree = stored(near.select("node").distinct().where(draw("11", "node") % 25 == 0).select(F.col("node").alias("root"), "node", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("depth")))
     for depth in range(1, 4):
         step = tree.where(F.col("depth") == depth - 1).select("root", F.col("node").alias("parent")).join(near.select(F.col("node").alias("parent"), F.col("other").alias("node")), "parent")
-        new = step.join(tree.select("root", "node"), ["root", "node"], "left_anti").groupBy("root", "node").agg(F.min_by("parent", F.struct(F.xxhash64(F.lit(depth), "parent", "node"), "parent")).alias("parent"))
-        tree = stored(tree.unionByName(new.select("root", "node", "parent", F.lit(depth).alias("depth"))))
+        new = step.join(tree.select("root", "node"), ["root", "node"], "left_anti").groupBy("root", "node").agg(F.min_by("parent", F.struct(F.md5(F.concat_ws(":", F.lit(str(depth)), "parent", "node")), "parent")).alias("parent"))
+        tree = dropped(tree, stored(tree.unionByName(new.select("root", "node", "parent", F.lit(depth).alias("depth")))))
     return tree
 
 
-@PLAN.add()
-def seeded_keywords(spark: SparkSession, d: str) -> DataFrame:
-    """Task-oriented samples: entities whose text holds a keyword, with their neighbours by hash."""
-    seeds = read(spark, d, "entities").where(F.lower("text").rlike("vel|tor|衡|岫")).select(F.col("entity_id").alias("node"))
-    return G.ranked_sample(G.both_ways(edges(spark, d)).join(seeds, "node", "left_semi"), 13, ["node"], "other", 9)
-
-
 @PLAN.add()
 def encoded_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Cosine of question and answer by the default encoder (hashed words)."""

@@ -11,8 +11,9 @@ from pyspark.sql.window import Window as W
 
 from curatrix.operators import graph as G
 from curatrix.operators.dedup import components
+from curatrix.operators.store import dropped, stored
 
-from .base import STEPS, Plan, read, steps
+from .base import DRAW, STEPS, Plan, draw, read, steps
 
 PLAN = Plan()
 QUERIES, SQL = PLAN.queries, PLAN.sql
@@ -62,16 +63,20 @@ def _spans(spark: SparkSession, d: str) -> DataFrame:
     return m.where("a > 0").select("trajectory_id", "step_id", "entity_id", "type", F.col("a").cast("bigint").alias("a"), (F.col("a") + F.length("text")).cast("bigint").alias("b"))
 
 
-@PLAN.add("""WITH s AS (SELECT DISTINCT trajectory_id, step_id, content FROM reasoning_steps WHERE content IS NOT NULL), t AS (SELECT trajectory_id, step_id, content, unnest(regexp_extract_all(content, '[A-Z][A-Z0-9]*[0-9]{2,}(?:-[0-9]+)?')) AS code FROM s),
-p AS (SELECT trajectory_id, step_id, code, instr(content, code) AS a, instr(content, code) + length(code) AS b FROM t), q AS (SELECT DISTINCT * FROM p)
-SELECT x.trajectory_id, x.step_id, x.code AS code_a, y.code AS code_b, y.a - x.b AS gap FROM q x JOIN q y ON x.trajectory_id = y.trajectory_id AND x.step_id = y.step_id AND y.a >= x.b AND y.a - x.b < 50""")
+_CODE = "[A-Z][A-Z0-9]*[0-9]{2,}(?:-[0-9]+)?"
+
+
+@PLAN.add(f"""WITH s AS (SELECT DISTINCT trajectory_id, step_id, content FROM reasoning_steps WHERE content IS NOT NULL), t AS (SELECT trajectory_id, step_id, regexp_extract_all(content, '{_CODE}') AS codes, regexp_split_to_array(content, '{_CODE}') AS rest FROM s),
+p AS (SELECT trajectory_id, step_id, unnest(codes) AS code, unnest(range(1, len(codes) + 1)) AS i, unnest(list_transform(range(1, len(codes) + 1), lambda i: length(array_to_string(rest[1:i], '')) + length(array_to_string(codes[1:i - 1], '')) + 1)) AS a FROM t)
+SELECT x.trajectory_id, x.step_id, x.code AS code_a, y.code AS code_b, x.a AS start_a, y.a - x.a - length(x.code) AS gap FROM p x JOIN p y ON x.trajectory_id = y.trajectory_id AND x.step_id = y.step_id AND y.i > x.i AND y.a - x.a - length(x.code) < 50""")
 def kg_relation_spans(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of codes of one text whose gap is under 50 characters: an equi-join on the text with a range condition."""
-    s = steps(spark, d).where("content is not null").select("trajectory_id", "step_id", "content", F.explode(F.regexp_extract_all("content", F.lit(r"[A-Z][A-Z0-9]*[0-9]{2,}(?:-[0-9]+)?"), F.lit(0))).alias("code"))
-    p = s.select("trajectory_id", "step_id", "code", F.expr("cast(instr(content, code) as bigint)").alias("a"), F.expr("cast(instr(content, code) + length(code) as bigint)").alias("b")).distinct()
-    x, y = p.alias("x"), p.alias("y")
-    on = (F.col("x.trajectory_id") == F.col("y.trajectory_id")) & (F.col("x.step_id") == F.col("y.step_id")) & (F.col("y.a") >= F.col("x.b")) & (F.col("y.a") - F.col("x.b") < 50)
-    return x.join(y, on).select("x.trajectory_id", "x.step_id", F.col("x.code").alias("code_a"), F.col("y.code").alias("code_b"), (F.col("y.a") - F.col("x.b")).alias("gap"))
+    """Pairs of codes of one text, at all their places, whose gap is under 50 characters: a fold over the text's own codes, so nothing is joined."""
+    s = steps(spark, d).where("content is not null").select("trajectory_id", "step_id", F.regexp_extract_all("content", F.lit(_CODE), F.lit(0)).alias("codes"), F.split("content", _CODE, -1).alias("rest"))
+    start = lambda i: F.length(F.array_join(F.slice("rest", F.lit(1), i + 1), "")) + F.length(F.array_join(F.slice("codes", F.lit(1), i), "")) + 1
+    at = F.transform("codes", lambda c, i: F.struct(c.alias("code"), i.alias("i"), start(i).alias("a"), (start(i) + F.length(c)).alias("b")))
+    s = s.where("size(codes) > 1").select("trajectory_id", "step_id", at.alias("at"))
+    near = F.flatten(F.transform("at", lambda x: F.transform(F.filter("at", lambda y: (y["i"] > x["i"]) & (y["a"] - x["b"] < 50)), lambda y: F.struct(x["code"].alias("code_a"), y["code"].alias("code_b"), x["a"].cast("bigint").alias("start_a"), (y["a"] - x["b"]).cast("bigint").alias("gap")))))
+    return s.select("trajectory_id", "step_id", F.explode(near).alias("p")).select("trajectory_id", "step_id", "p.*")
 
 
 @PLAN.add(f"WITH {_N}, {_E}, k AS (SELECT node, sum(i) AS in_degree, sum(o) AS out_degree FROM (SELECT src AS node, 0 AS i, 1 AS o FROM e UNION ALL SELECT dst, 1, 0 FROM e UNION ALL SELECT node, 0, 0 FROM n) GROUP BY 1) SELECT node, in_degree, out_degree, round(0.5 * (in_degree / max(in_degree) OVER () + out_degree / max(out_degree) OVER ()), 6) AS importance FROM k")
@@ -145,27 +150,50 @@ def graph_components(spark: SparkSession, d: str) -> DataFrame:
     return components(e, "a", "b")
 
 
-@PLAN.add()
+def _rounds(n: int, one: str) -> str:
+    """``n`` rounds of a statement, each a table of its own made from the one before."""
+    return ", ".join(f"r{i + 1} AS MATERIALIZED ({one.format(i=i)})" for i in range(n))
+
+
+@PLAN.add(f"WITH {_E}, a AS (SELECT DISTINCT src, dst FROM e), o AS (SELECT src AS node, count(*) AS k FROM a GROUP BY 1), v AS (SELECT DISTINCT unnest([src, dst]) AS node FROM a), c AS (SELECT count(*) AS n FROM v), r0 AS (SELECT v.node, o.k, 1.0::DOUBLE / n AS rank FROM v LEFT JOIN o USING (node), c), "
+    + _rounds(10, "SELECT v.node, o.k, 0.15 / c.n + 0.85 * (coalesce(g.got, 0) + (SELECT coalesce(sum(rank), 0) FROM r{i} WHERE k IS NULL) / c.n) AS rank FROM v LEFT JOIN o USING (node) LEFT JOIN (SELECT a.dst AS node, sum(r.rank / r.k) AS got FROM a JOIN r{i} r ON r.node = a.src GROUP BY 1) g USING (node), c") + " SELECT node, round(rank, 9) AS rank FROM r10")
 def graph_pagerank(spark: SparkSession, d: str) -> DataFrame:
     return G.pagerank(edges(spark, d), 10).withColumn("rank", F.round("rank", 9))
 
 
-@PLAN.add()
+@PLAN.add(f"WITH {_E}, {_U}, r0 AS (SELECT DISTINCT node, node AS label FROM w), " + _rounds(5, "SELECT node, arg_min(label, (-n, label)) AS label FROM (SELECT w.node, r.label, count(*) AS n FROM w JOIN r{i} r ON r.node = w.other GROUP BY 1, 2) GROUP BY 1") + " SELECT node, label FROM r5")
 def graph_communities(spark: SparkSession, d: str) -> DataFrame:
     return G.label_propagation(edges(spark, d))
 
 
 @PLAN.add()
+def graph_louvain(spark: SparkSession, d: str) -> DataFrame:
+    """Communities by local moves of greatest modularity; tested against the modularity of other divisions."""
+    return G.louvain(edges(spark, d))
+
+
+_INSIDE = "s AS (SELECT DISTINCT src || '@' || subgraph_id AS a, dst || '@' || subgraph_id AS b FROM e WHERE src <> dst), w AS (SELECT a AS node, b AS other FROM s UNION SELECT b, a FROM s)"
+
+
+def inside(spark: SparkSession, d: str) -> DataFrame:
+    """The subgraphs' edges, nodes named by their subgraph."""
+    return edges(spark, d).where("src <> dst").select(F.concat_ws("@", "src", "subgraph_id").alias("src"), F.concat_ws("@", "dst", "subgraph_id").alias("dst"))
+
+
+@PLAN.add(f"""WITH RECURSIVE {_E}, {_INSIDE}, x AS (SELECT DISTINCT node AS a, other AS b FROM w WHERE node < other), b(a, b, node) AS (SELECT a, b, a FROM x UNION SELECT b.a, b.b, w.other FROM b JOIN w ON w.node = b.node WHERE NOT (w.node = b.a AND w.other = b.b)),
+f AS (SELECT node AS cut, min(other) AS node FROM w GROUP BY 1), c(cut, node) AS (SELECT cut, node FROM f UNION SELECT c.cut, w.other FROM c JOIN w ON w.node = c.node WHERE w.other <> c.cut)
+SELECT 'bridge' AS kind, a, b FROM x WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.a = x.a AND b.b = x.b AND b.node = x.b)
+UNION ALL SELECT DISTINCT 'articulation', w.node, NULL FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.cut = w.node AND c.node = w.other)""")
 def graph_weak_points(spark: SparkSession, d: str) -> DataFrame:
     """Bridges and articulation points of the subgraphs (nodes named by their subgraph)."""
-    e = edges(spark, d).where("src <> dst").select(F.concat_ws("@", "src", "subgraph_id").alias("src"), F.concat_ws("@", "dst", "subgraph_id").alias("dst"))
-    return G.per_component(e, G.weak_points, "kind string, a string, b string")
+    return G.weak_points_of(inside(spark, d))
 
 
-@PLAN.add()
+@PLAN.add(f"""WITH RECURSIVE {_E}, {_INSIDE}, n AS (SELECT node, list(other) AS near FROM w GROUP BY 1), k(m, common) AS (SELECT [node], near FROM n UNION ALL SELECT list_append(k.m, n.node), list_intersect(k.common, n.near) FROM k, unnest(k.common) u(x) JOIN n ON n.node = u.x WHERE u.x > k.m[-1])
+SELECT m AS members FROM k WHERE len(m) >= 3 AND len(common) = 0""")
 def graph_cliques(spark: SparkSession, d: str) -> DataFrame:
-    e = edges(spark, d).where("src <> dst").select(F.concat_ws("@", "src", "subgraph_id").alias("src"), F.concat_ws("@", "dst", "subgraph_id").alias("dst"))
-    return G.per_component(e, G.cliques, "members array<string>")
+    """Maximal cliques of three or more nodes of the subgraphs (nodes named by their subgraph)."""
+    return G.cliques_of(inside(spark, d))
 
 
 @PLAN.add(f"WITH {_E}, t AS (SELECT entity_id FROM entities WHERE confidence >= 0.8) SELECT e.src, e.dst, e.relation, count(*) AS n FROM e SEMI JOIN t ON t.entity_id = e.src WHERE e.dst IN (SELECT entity_id FROM t) GROUP BY 1, 2, 3")
@@ -213,36 +241,47 @@ def comparable_entities(spark: SparkSession, d: str) -> DataFrame:
     return x.join(y, on).select("x.subgraph_id", F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-@PLAN.add()
+@PLAN.add(f"WITH {_E}, {_U}, g AS (SELECT node, count(*) AS d FROM w GROUP BY 1), c AS (SELECT node FROM g WHERE d >= (SELECT quantile_disc(d, 0.8) FROM g)), r AS (SELECT w.node, w.other, row_number() OVER (PARTITION BY w.node ORDER BY md5('7:' || w.node || ':' || w.other), w.other) AS k FROM w JOIN c USING (node)) SELECT node, other FROM r WHERE k <= 5")
 def star_sample(spark: SparkSession, d: str) -> DataFrame:
     """Stars: centres from the best-linked fifth of the nodes, five neighbours each, chosen by hash."""
-    near = G.both_ways(edges(spark, d))
+    near = stored(G.both_ways(edges(spark, d)))
     deg = near.groupBy("node").agg(F.count("*").alias("degree"))
     least = deg.agg(F.percentile_approx("degree", 0.8, 10_000)).first()[0]
     centres = deg.where(F.col("degree") >= F.lit(least)).select("node")
     return G.ranked_sample(near.join(centres, "node", "left_semi"), 7, ["node"], "other", 5)
 
 
-@PLAN.add()
+def _pick(seed: int, i: int) -> str:
+    return f"b{i + 1} AS MATERIALIZED (SELECT seed, other AS node, {i + 1} AS depth FROM (SELECT b.seed, b.node, w.other, row_number() OVER (PARTITION BY b.seed, b.node ORDER BY md5('{seed}:' || b.seed || ':' || b.node || ':' || w.other), w.other) AS k FROM (SELECT DISTINCT seed, node FROM b{i}) b JOIN w ON w.node = b.node) WHERE k <= 5)"
+
+
+@PLAN.add(f"WITH {_E}, {_U}, b0 AS (SELECT DISTINCT node AS seed, node, 0 AS depth FROM w WHERE {DRAW('3', 'node')} % 20 = 0), {_pick(3, 0)}, {_pick(4, 1)} SELECT seed, node, min(depth) AS depth FROM (SELECT * FROM b0 UNION ALL SELECT * FROM b1 UNION ALL SELECT * FROM b2) GROUP BY 1, 2")
 def bfs_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Breadth-first samples of depth two from hashed seeds, at most five new neighbours per node and step."""
-    near = G.both_ways(edges(spark, d))
-    seeds = near.select("node").distinct().where(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(20)) == 0).select(F.col("node").alias("seed"), "node", F.lit(0).alias("depth"))
-    one = G.ranked_sample(seeds.join(near, "node"), 3, ["seed", "node"], "other", 5).select("seed", F.col("other").alias("node"), F.lit(1).alias("depth"))
-    two = G.ranked_sample(one.select("seed", "node").join(near, "node"), 4, ["seed", "node"], "other", 5).select("seed", F.col("other").alias("node"), F.lit(2).alias("depth"))
-    return seeds.unionByName(one).unionByName(two).groupBy("seed", "node").agg(F.min("depth").alias("depth"))
+    """Breadth-first samples of depth two from hashed seeds, five neighbours by hash for each node and step."""
+    near = stored(G.both_ways(edges(spark, d)))
+    level = near.select("node").distinct().where(draw("3", "node") % 20 == 0).select(F.col("node").alias("seed"), "node", F.lit(0).alias("depth"))
+    out = level
+    for depth in (1, 2):
+        step = stored(level.select("seed", "node").distinct()).join(near, "node")
+        level = G.ranked_sample(step, depth + 2, ["seed", "node"], "other", 5).select("seed", F.col("other").alias("node"), F.lit(depth).alias("depth"))
+        out = out.unionByName(level)
+    return out.groupBy("seed", "node").agg(F.min("depth").alias("depth"))
 
 
-@PLAN.add()
+_STEP = "p{j} AS MATERIALIZED (SELECT p.start, CASE WHEN c.n IS NULL THEN p.path ELSE list_append(p.path, c.n) END AS path FROM p{i} p LEFT JOIN (SELECT p.start, arg_min(w.other, (md5('{i}:' || p.start || ':' || w.other), w.other)) AS n FROM p{i} p JOIN w ON w.node = p.path[-1] WHERE NOT list_contains(p.path, w.other) GROUP BY 1) c USING (start))"
+
+
+@PLAN.add(f"WITH {_E}, {_U}, p0 AS (SELECT DISTINCT node AS start, [node] AS path FROM w), " + ", ".join(_STEP.format(i=i, j=i + 1) for i in range(6)) + " SELECT start, array_to_string(path, '>') AS path FROM p6")
 def random_walks(spark: SparkSession, d: str) -> DataFrame:
-    """Seeded walks of six steps from every node: each step takes the neighbour of the smallest hash of walk, step and neighbour not yet on the path."""
-    near = G.both_ways(edges(spark, d))
-    walks = near.select(F.col("node").alias("start")).distinct().select("start", F.array("start").alias("path"))
+    """Seeded walks of six steps from every node: each step takes the neighbour of the smallest hash of step, start and neighbour not yet on the path. Every round is stored."""
+    near = stored(G.both_ways(edges(spark, d)))
+    walks = stored(near.select(F.col("node").alias("start")).distinct().select("start", F.array("start").alias("path")))
     for i in range(6):
         step = walks.join(near, F.element_at("path", -1) == F.col("node")).where(~F.array_contains("path", F.col("other")))
-        chosen = step.groupBy("start").agg(F.min_by("other", F.struct(F.xxhash64(F.lit(i), "start", "other"), "other")).alias("next"))
-        walks = walks.join(chosen, "start", "left").select("start", F.when(F.col("next").isNotNull(), F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path"))
-    return walks
+        chosen = step.groupBy("start").agg(F.min_by("other", F.struct(F.md5(F.concat_ws(":", F.lit(str(i)), "start", "other")), "other")).alias("next"))
+        new = stored(walks.join(chosen, "start", "left").select("start", F.when(F.col("next").isNotNull(), F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path")))
+        walks = dropped(walks, new)
+    return walks.select("start", F.array_join("path", ">").alias("path"))
 
 
 @PLAN.add("SELECT n_nationkey AS nation, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(*) AS lines FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY 1")

@@ -113,7 +113,9 @@ def evidence_scores(spark: SparkSession, d: str) -> DataFrame:
     return y.groupBy("eval_id").agg(F.count("*").alias("n"), mean("jac").alias("accuracy"), mean("agree").alias("consistency"))
 
 
-@PLAN.add()
+@PLAN.add(f"""WITH {QA}, q AS (SELECT DISTINCT id AS query_id, unnest({TOKENS.format('question')}) AS word FROM qa WHERE CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) % 20 = 0), dw AS (SELECT DISTINCT doc_id, unnest({TOKENS.format('text')}) AS word FROM documents WHERE text IS NOT NULL), n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL),
+f AS (SELECT word, ln((1 + any_value(n)) / (1 + count(*))) AS idf FROM dw, n GROUP BY 1), h AS (SELECT query_id, doc_id, round(sum(idf), 6) AS score, count(*) AS n_words FROM q JOIN f USING (word) JOIN dw USING (word) GROUP BY 1, 2)
+SELECT query_id, doc_id, score, n_words, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM h) WHERE rank <= 3""")
 def lexical_retrieval(spark: SparkSession, d: str) -> DataFrame:
     """Best three documents, by summed idf of shared words, for every question whose number is divisible by 20; the join is by word."""
     number = F.regexp_extract("id", r"(\d+)$", 1).cast("bigint")
@@ -124,7 +126,6 @@ def lexical_retrieval(spark: SparkSession, d: str) -> DataFrame:
 
 @PLAN.add()
 def sequence_similarity(spark: SparkSession, d: str) -> DataFrame:
-    """Ratcliff-Obershelp ratio of neighbouring names of entities of one type (sorted by name)."""
-    e = read(spark, d, "entities").where("text is not null").select("entity_id", "type", "text")
-    near = e.withColumn("next", F.lead("text").over(W.partitionBy("type").orderBy("text", "entity_id"))).where("next is not null")
-    return near.select("entity_id", F.round(M.sequence_ratio("text", "next"), 6).alias("ratio"))
+    """Ratcliff-Obershelp ratio of every entry's question and its obfuscated form: both are in one row, so nothing is shuffled but repeats."""
+    e = read(spark, d, "dataset_entries").where("question is not null and obfuscated_question is not null").select("entry_id", "question", "obfuscated_question")
+    return e.select("entry_id", F.round(M.sequence_ratio("question", "obfuscated_question"), 6).alias("ratio")).distinct()

@@ -160,12 +160,15 @@ def fixed_chunks(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").where("length(text) > 0").select("doc_id", F.posexplode(T.fixed_chunks(F.col("text"), 300, 50)).alias("chunk", "content")).withColumn("chunk", F.col("chunk").cast("bigint"))
 
 
-@PLAN.add()
+@PLAN.add(f"""WITH RECURSIVE p AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\n\\s*\\n'), lambda x: {TRIM.format('x')} <> '') AS p FROM documents WHERE text IS NOT NULL),
+r(doc_id, i, chunk, content) AS (SELECT doc_id, 1, 0, p[1] FROM p WHERE len(p) > 0 UNION ALL SELECT doc_id, i + 1, CASE WHEN fits THEN chunk ELSE chunk + 1 END, CASE WHEN fits THEN content || chr(10) || chr(10) || next ELSE next END FROM (SELECT r.*, p.p[i + 1] AS next, length(content) + length(p.p[i + 1]) + 2 <= 1000 AS fits FROM r JOIN p USING (doc_id) WHERE i < len(p.p)))
+SELECT doc_id, chunk, arg_max(content, i) AS content FROM r GROUP BY 1, 2""")
 def paragraph_chunks(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", F.posexplode(T.paragraph_chunks(F.col("text"), 1000)).alias("chunk", "content"))
 
 
-@PLAN.add()
+@PLAN.add("""WITH t AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, unnest(s) AS s, unnest(range(1, len(s) + 1)) AS k FROM t), g AS (SELECT *, sum(CASE WHEN k = 1 OR length(s) >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) - 1 AS part FROM l)
+SELECT doc_id, CAST(part AS INT) AS position, string_agg(s, ' ' ORDER BY k) AS sentence FROM g GROUP BY doc_id, part""")
 def merged_fragments(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", F.posexplode(T.merged_fragments(F.col("text"))).alias("position", "sentence"))
 
