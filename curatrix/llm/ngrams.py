@@ -39,25 +39,38 @@ class CharModel:
                 g, inside = grams(cp, k), within(offsets, len(cp), k)
                 n = np.bincount(g[inside], minlength=1 << BITS).astype(np.float64)
                 rows.append(np.log((1 - rare) * n / max(n.sum(), 1) + rare / (1 << BITS)))
-            self.tables.append(np.array(rows, dtype=np.float32))
-
-    def positions(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probability by class (rows) of the n-grams at each position, averaged over sizes; and offsets."""
+            self.tables.append(np.ascontiguousarray(np.array(rows, dtype=np.float32).T))  # the classes of an n-gram side by side
+
+    @classmethod
+    def joined(cls, *models: CharModel) -> CharModel:
+        """One model with the classes of several, which reads a text once for all."""
+        out = cls.__new__(cls)
+        out.classes = tuple(c for m in models for c in m.classes)
+        out.tables = [np.concatenate(t, axis=1) for t in zip(*(m.tables for m in models))]
+        return out
+
+    def positions(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-probability by class (rows) of the n-grams at each position, averaged over sizes; offsets; and code points."""
         cp, offsets = normal(texts)
-        out = np.zeros((len(self.classes), len(cp)), dtype=np.float32)
+        out = np.zeros((len(cp), len(self.classes)), dtype=np.float32)
         for k, t in zip(SIZES, self.tables):
-            w = t[:, grams(cp, k)]
-            w[:, ~within(offsets, len(cp), k)] = 0
-            out += w / len(SIZES)
-        return out, offsets
+            w = t[grams(cp, k)]
+            w[~within(offsets, len(cp), k)] = 0
+            out += w
+        out /= len(SIZES)
+        return out.T, offsets, cp
 
     def totals(self, texts: Sequence[str]) -> np.ndarray:
         """Log-likelihood of each text (rows) in each class."""
         if not len(texts):
             return np.zeros((0, len(self.classes)))
-        w, offsets = self.positions(texts)
+        w, offsets, _ = self.positions(texts)
         return np.add.reduceat(w, offsets[:-1], axis=1).T.astype(np.float64)
 
+    def best(self, texts: Sequence[str]) -> np.ndarray:
+        """Number of the likeliest class of each text."""
+        return np.concatenate([self.totals(texts[s]).argmax(axis=1) for s in C.batches(texts)] or [np.zeros(0, dtype=np.int64)])
+
 
 def within(offsets: np.ndarray, n: int, k: int) -> np.ndarray:
     """True where an n-gram of size k lies inside one text."""

@@ -24,12 +24,14 @@ from . import chargrams as C
 from . import phrases as P
 from .content import copies, is_empty
 from .language import label_of, segments, words
-from .ngrams import CharModel, normal, window_mean
+from .ngrams import CharModel, window_mean
 from .sources import sample_rows, spread, table
 from .truncation import answers as texts
 from .truncation import cut_records, model_for
 
 SAMPLE = 3000
+#: Codes such as T65-1329; they say nothing in any language.
+_CODE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{1,8}\d[\d-]*")
 LANGS = ("zh", "en", "de", "fr", "es")
 class Judge:
     """Refusal windows and language posteriors."""
@@ -37,6 +39,7 @@ class Judge:
     def __init__(self, by_lang: dict[str, list[str]], prose: list[str]):
         self.langs = CharModel(LANGS, [by_lang.get(g) or [P.SENTENCES[g]] for g in LANGS])
         self.refusal = CharModel(("refusal", "prose"), (P.REFUSALS, prose or list(P.SENTENCES.values())))
+        self.both = CharModel.joined(self.langs, self.refusal)
 
     @classmethod
     def fit(cls, rows: list) -> Judge:
@@ -60,16 +63,15 @@ class Judge:
 
     def refusals(self, answers: list[str]) -> np.ndarray:
         """True where windows likelier in refusals cover most of the answer, and no number outside them gives it content."""
-        out = np.zeros(len(answers), dtype=bool)
-        for s in C.batches(answers):
-            part = [re.sub(r"\w*[A-Za-z]\d[\d-]*", "§", t) for t in answers[s]]
-            w, offsets = self.refusal.positions(part)
-            ratio = w[0] - w[1]
-            hit = window_mean(ratio, offsets, 12) > 0
-            said = np.add.reduceat((normal(part)[0] == 48) & ~hit, offsets[:-1], dtype=np.int64)  # digits
-            cover = np.add.reduceat(hit, offsets[:-1], dtype=np.int64) / np.diff(offsets)
-            out[s] = (cover >= 0.5) & (np.add.reduceat(ratio, offsets[:-1]) > 0) & (said == 0)
-        return out
+        return np.concatenate([self._refused(*self.refusal.positions([_CODE.sub("§", t) for t in answers[s]])) for s in C.batches(answers)] or [np.zeros(0, dtype=bool)])
+
+    @staticmethod
+    def _refused(w: np.ndarray, offsets: np.ndarray, cp: np.ndarray) -> np.ndarray:
+        ratio = w[-2] - w[-1]
+        hit = window_mean(ratio, offsets, 12) > 0
+        said = np.add.reduceat((cp == 48) & ~hit, offsets[:-1], dtype=np.int64)  # digits
+        cover = np.add.reduceat(hit, offsets[:-1], dtype=np.int64) / np.diff(offsets)
+        return (cover >= 0.5) & (np.add.reduceat(ratio, offsets[:-1]) > 0) & (said == 0)
 
     def languages(self, texts: list[str]) -> list[set[str]]:
         """Languages of the segments of each text (segments of under two words or characters left out)."""
@@ -94,9 +96,10 @@ class Judge:
                 out[i] = "copies_question"
             else:
                 open_.append(i)
-        refused = self.refusals([answers[i] for i in open_])
         # posteriors of whole texts first; only pairs that they hold to differ are read segment by segment
-        unlike = [i for i, k in zip(open_, self.differ([questions[i] or "" for i in open_], [answers[i] for i in open_])) if k]
+        refused, said_in = self.read([answers[i] for i in open_])
+        asked_in = self.langs.best([_CODE.sub("§", questions[i] or "") for i in open_])
+        unlike = [i for i, a, q in zip(open_, said_in, asked_in) if a != q]
         asked = dict(zip(unlike, self.languages([questions[i] or "" for i in unlike])))
         said = dict(zip(unlike, self.languages([answers[i] for i in unlike])))
         for i, r in zip(open_, refused):
@@ -106,10 +109,14 @@ class Judge:
                 out[i] = "other_language"
         return out
 
-    def differ(self, questions: list[str], answers: list[str]) -> np.ndarray:
-        """True where prompt and response have different languages of greatest posterior."""
-        best = [np.concatenate([self.langs.totals(x[s]).argmax(axis=1) for s in C.batches(x)] or [np.zeros(0, dtype=np.int64)]) for x in (questions, answers)]
-        return best[0] != best[1]
+    def read(self, answers: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``refusals``, and the language of greatest posterior, of each answer: both models in one pass."""
+        refused, best = [np.zeros(0, dtype=bool)], [np.zeros(0, dtype=np.int64)]
+        for s in C.batches(answers):
+            w, offsets, cp = self.both.positions([_CODE.sub("§", t) for t in answers[s]])
+            refused.append(self._refused(w, offsets, cp))
+            best.append(np.add.reduceat(w[: len(LANGS)], offsets[:-1], axis=1).argmax(axis=0))
+        return np.concatenate(refused), np.concatenate(best)
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ class Residue:
             part = texts[s]
             if not part:
                 continue
-            w, offsets = self.model.positions(part)
+            w, offsets, _ = self.model.positions(part)
             ratio = np.maximum(w[0], w[1]) - w[3]
             hit = window_mean(ratio, offsets, WIDTH) > 0
             share = np.add.reduceat(hit, offsets[:-1], dtype=np.int64) / np.diff(offsets)
