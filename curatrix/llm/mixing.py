@@ -64,7 +64,8 @@ def totals(docs: DataFrame, shares: list[Share]) -> int:
     names = {s.source: s for s in shares}
     if not names:
         return 0
-    for r in docs.where(F.col("source").isin(list(names))).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect():
+    listed = F.broadcast(docs.sparkSession.createDataFrame([(s.source,) for s in shares], "source string").distinct())  # at most MOST_SOURCES names
+    for r in docs.join(listed, "source").groupBy("source").agg(F.sum("n_tokens").alias("n")).collect():
         names[r.source].tokens = r.n or 0
     return sum(s.tokens for s in shares)
 
@@ -82,10 +83,9 @@ def mixed(docs: DataFrame, shares: list[Share], seed: int = 1) -> DataFrame:
     rows = [(s.source, int(s.size // s.tokens), float(s.size % s.tokens), s.repeats) for s in shares if s.tokens and s.size > 0]
     if not rows:
         return docs.where("false").withColumn("repeats", F.lit(0))
-    # a literal of the given sources: its size is that of source_weights
-    given = F.create_map(*[x for name, whole, rest, most in rows for x in (F.lit(name), F.struct(F.lit(whole).alias("whole"), F.lit(rest).alias("rest"), F.lit(most).alias("most")))])
+    given = F.broadcast(docs.sparkSession.createDataFrame(rows, "source string, whole bigint, rest double, most bigint"))  # at most MOST_SOURCES rows
     key = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
-    used = docs.where(F.col("source").isin([r[0] for r in rows])).withColumn("g", given[F.col("source")]).select("doc_id", "source", "n_tokens", "g.*", key.alias("key")).withColumn("part", F.floor(F.col("key") / F.lit((1 << 40) // RANGES)).cast("int"))
+    used = docs.join(given, "source").select("doc_id", "source", "n_tokens", "whole", "rest", "most", key.alias("key")).withColumn("part", F.floor(F.col("key") / F.lit((1 << 40) // RANGES)).cast("int"))
     sums = used.groupBy("source", "part").agg(F.sum("n_tokens").alias("t"))
     before = F.coalesce(F.sum("t").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.select("source", "part", before.alias("before"))
@@ -93,7 +93,7 @@ def mixed(docs: DataFrame, shares: list[Share], seed: int = 1) -> DataFrame:
     ordered = used.withColumn("inside", inside).join(offsets, ["source", "part"])
     # a document goes into the fraction if its middle does: the error is at most half a document
     extra = (F.col("before") + F.col("inside") + F.col("n_tokens") / 2 <= F.col("rest")) & (F.col("whole") < F.col("most"))
-    return ordered.select("doc_id", "source", "n_tokens", (F.col("whole") + extra.cast("int")).alias("repeats")).where("repeats > 0")
+    return ordered.select("doc_id", "source", "n_tokens", (F.col("whole") + extra.cast("int")).cast("int").alias("repeats")).where("repeats > 0")
 
 
 def shares(spark: SparkSession, sf_dir: str) -> DataFrame:

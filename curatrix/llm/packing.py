@@ -1,7 +1,7 @@
 """Problem 8: documents into containers of fixed token capacity, by minimum bin slack.
 
-What has to be solved globally depends only on how many items there are of each length, and lengths are bounded by the capacity: the driver gets
-that histogram (at most ``capacity`` numbers per spec), and plans containers as patterns of lengths. A pattern starts with the longest remaining length;
+What has to be solved globally depends only on how many items there are of each length, and lengths are bounded by the capacity: that histogram (at most ``capacity`` numbers
+for each spec) is planned on the driver while it has at most FEW rows in all, else in one task for each spec. Containers are planned as patterns of lengths. A pattern starts with the longest remaining length;
 a bitset subset-sum over the remaining lengths finds the fill closest to the capacity, and backtracking gives the multiset; it is then
 repeated as often as the counts allow. Documents get their containers by joining their rank within their length to the plan.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -23,9 +24,11 @@ from .sources import spread, stored, table
 from .tokens import DEFAULT_VOCABULARY, counter
 
 RANGES = 1024
+#: Given, not data: at most so many specs are read, and a capacity is at most so many tokens (a histogram and its bitset then fit a task).
 MOST_SPECS, MOST_CAPACITY = 1000, 1 << 20
-#: A plan of at most so many rows (of five numbers: 20 MB) is broadcast, a larger one joined by shuffle.
+#: A histogram of at most so many rows (of four numbers: 16 MB; its plan has no more patterns than it has lengths) is planned on the driver and its plan is broadcast.
 FEW = 500_000
+PLAN = "spec_id int, piece_tokens int, first bigint, past bigint, per bigint, base bigint"
 
 
 def lengths(spark: SparkSession, sf_dir: str, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -110,14 +113,20 @@ def packed(spark: SparkSession, sf_dir: str, vocabulary: str = DEFAULT_VOCABULAR
     # full pieces have a container to themselves
     whole = each.where("full > 0").select("spec_id", "doc_id", F.explode(F.sequence(F.lit(1), F.col("full"))).alias("piece_no"), F.col("capacity").alias("piece_tokens"), F.col("n_tokens"))
     whole = whole.select("spec_id", "doc_id", "piece_no", "piece_tokens", F.concat_ws("-", F.lit("own"), "doc_id", "piece_no").alias("container"))
-    items = each.where("rest > 0").select("spec_id", "doc_id", (F.col("full") + 1).alias("piece_no"), F.col("rest").alias("piece_tokens"))
+    items = each.where("rest > 0").select("spec_id", "doc_id", (F.col("full") + 1).alias("piece_no"), F.col("rest").alias("piece_tokens"), "capacity")
     empty = each.where("n_tokens = 0").select("spec_id", "doc_id", F.lit(1).alias("piece_no"), F.lit(0).alias("piece_tokens"), F.lit(None).cast("string").alias("container"))
-    histogram: dict[int, dict[int, int]] = {r.spec_id: {} for r in wanted}
-    for r in items.groupBy("spec_id", "piece_tokens").count().collect():  # at most capacity - 1 lengths per spec
-        histogram[r.spec_id][r.piece_tokens] = r["count"]
-    rows = [(r.spec_id, *x) for r in wanted for x in plan(histogram[r.spec_id], r.capacity_tokens)]
-    planned = spark.createDataFrame(rows, "spec_id int, piece_tokens int, first bigint, past bigint, per bigint, base bigint")
-    planned = F.broadcast(planned) if len(rows) <= FEW else planned
+    items = stored(items)
+
+    def planned_for(g: pd.DataFrame) -> pd.DataFrame:  # one spec's histogram: at most capacity - 1 lengths
+        rows = plan(dict(zip(g["piece_tokens"].tolist(), g["n"].tolist())), int(g["capacity"].iloc[0]))
+        return pd.DataFrame([(g["spec_id"].iloc[0], *x) for x in rows], columns=[c.split()[0] for c in PLAN.split(", ")])
+
+    histogram = stored(items.groupBy("spec_id", "capacity", "piece_tokens").agg(F.count("*").alias("n")))
+    if histogram.count() <= FEW:
+        parts = [planned_for(g) for _, g in histogram.toPandas().groupby("spec_id")]
+        planned = F.broadcast(spark.createDataFrame(pd.concat(parts), PLAN) if parts else spark.createDataFrame([], PLAN))
+    else:  # many specs of many lengths: a task for each spec
+        planned = stored(histogram.groupBy("spec_id").applyInPandas(planned_for, PLAN))
     place = ranked(items, ["spec_id", "piece_tokens"], "doc_id", "piece_no").join(planned, ["spec_id", "piece_tokens"]).where("rank >= first and rank < past")
     mixed = place.select("spec_id", "doc_id", "piece_no", "piece_tokens", F.concat_ws("-", F.lit("mix"), F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("per"))).alias("container"))
     return mixed.unionByName(whole).unionByName(empty)

@@ -9,7 +9,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
 
-DEFAULT_VOCABULARY = os.environ.get("CURATRIX_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
+#: The multilingual byte-level vocabulary: of the public ones it needs the fewest tokens for texts in the five languages, and the least time.
+DEFAULT_VOCABULARY = os.environ.get("CURATRIX_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the usual splitting pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 

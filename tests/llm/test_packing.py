@@ -18,3 +18,11 @@ def test_whole_capacities(spark, tables, monkeypatch):
     monkeypatch.setattr(packing, "lengths", lambda spark, d, v=None: spark.createDataFrame([(1, "a", 10), (2, "a", 11), (3, "a", 20), (4, "a", 0), (5, "a", 9)], "doc_id bigint, source string, n_tokens int"))
     d = tables(pack_specs=([(1, 10)], "spec_id int, capacity_tokens int"))
     assert sorted(tuple(r) for r in packing.found(spark, d).collect()) == [(1, 2), (1, 3)]
+
+
+def test_plan_in_tasks_is_the_same(spark, tables, monkeypatch):
+    docs = [(i, "word " * (i % 9), "a", None) for i in range(60)]
+    d = tables(documents=(docs, DOCS), pack_specs=([(1, 12), (2, 50)], "spec_id int, capacity_tokens int"))
+    want = sorted(map(tuple, packing.packed(spark, d).collect()), key=repr)
+    monkeypatch.setattr(packing, "FEW", 0)
+    assert sorted(map(tuple, packing.packed(spark, d).collect()), key=repr) == want
