@@ -26,6 +26,8 @@ WHERE = {
     "p6_segment_languages": "language.segment_languages",
     "p7_found": "repetition.found",
     "p7_text_shares": "repetition.text_shares",
+    "p7_thresholds": "repetition.levels",
+    "p7_outstanding": "repetition.outstanding",
     "p8_found": "packing.found",
     "p8_packed": "packing.packed",
     "p8_fill_report": "packing.fill_report",
@@ -35,6 +37,7 @@ WHERE = {
     "p10_found": "spans.found",
     "p10_spans": "spans.shared_spans",
     "p10_coverage": "spans.coverage",
+    "p10_passages": "spans.passages",
 }
 
 

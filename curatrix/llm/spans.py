@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from . import chargrams as C
 from .sources import spread, stored, table
@@ -31,9 +32,15 @@ FEW = 500_000
 
 
 def compact_windows(h: np.ndarray, width: int) -> list[int]:
-    """Places of the smallest hash of each compact window of at least ``width`` tokens: the nodes of the Cartesian tree with so wide a subtree.
+    """Places of the smallest hash of each compact window of at least ``width`` tokens (see ``bounded_windows``)."""
+    return [at for at, _, _ in bounded_windows(h, width)]
 
-    Of equal hashes the leftmost is the node, and the right part is searched on; every run of ``width`` tokens has its smallest token among the results.
+
+def bounded_windows(h: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """Place of the smallest hash of each compact window of at least ``width`` tokens, and the first and last start of the runs of ``width`` that have it: the
+    nodes of the Cartesian tree with so wide a subtree.
+
+    Of equal hashes the leftmost is the node, and the right part is searched on; every run of ``width`` tokens belongs to exactly one of the results.
     """
     out, todo = [], [(0, len(h))]
     while todo:
@@ -41,14 +48,14 @@ def compact_windows(h: np.ndarray, width: int) -> list[int]:
         if hi - lo < width:
             continue
         at = lo + int(h[lo:hi].argmin())
-        out.append(at)
+        out.append((at, max(lo, at - width + 1), min(at, hi - width)))
         todo.append((lo, at))
         todo.append((at + 1, hi))
     return out
 
 
 def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, step: int = STEP, salt: int = 0) -> DataFrame:
-    """hash, doc_id, keys of every compact window of every document."""
+    """hash, doc_id, keys, first, last of every compact window of every document (``bounded_windows``)."""
     width = span - gram + 1
     cut = span - step  # length of the surrounding text in a key
     mix = C.spread(np.array([salt + 1], dtype=np.uint64))[0]
@@ -61,27 +68,29 @@ def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, step: int = STE
                 if len(cp) < span:
                     continue
                 tokens, longer = C.spread(C.rolling(cp, gram) ^ mix), C.rolling(cp, cut)
-                rows_h, rows_id, rows_k = [], [], []
+                rows_h, rows_id, rows_k, rows_a, rows_b = [], [], [], [], []
                 for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
                     if b - a < span:
                         continue
-                    for at in compact_windows(tokens[a : b - gram + 1], width):
+                    for at, first, last in bounded_windows(tokens[a : b - gram + 1], width):
                         starts = a + at - np.arange(0, span - gram + 1, step)
                         starts = starts[(starts >= a) & (starts + cut <= b)]
                         rows_h.append(tokens[a + at])
                         rows_id.append(ids[s.start + i])
                         rows_k.append(longer[starts].view(np.int64))
+                        rows_a.append(first)
+                        rows_b.append(last)
                 if rows_h:
-                    yield pd.DataFrame({"hash": np.array(rows_h, dtype=np.uint64).view(np.int64), "doc_id": rows_id, "keys": rows_k})
+                    yield pd.DataFrame({"hash": np.array(rows_h, dtype=np.uint64).view(np.int64), "doc_id": rows_id, "keys": rows_k, "first": rows_a, "last": rows_b})
 
-    return spread(docs.where(F.length("text") >= span).select("doc_id", "text")).mapInPandas(find, "hash bigint, doc_id bigint, keys array<bigint>")
+    return spread(docs.where(F.length("text") >= span).select("doc_id", "text")).mapInPandas(find, "hash bigint, doc_id bigint, keys array<bigint>, first int, last int")
 
 
-def shared_keys(docs: DataFrame) -> DataFrame:
-    """(key, doc_id) of windows whose smallest token is in more than one document, for keys in more than one document."""
-    w = stored(windows(docs))
+def shared_keys(docs: DataFrame, *places: str) -> DataFrame:
+    """(key, doc_id, and the columns ``places`` of the window) of windows whose smallest token is in more than one document, for keys in more than one document."""
+    w = stored(windows(docs).select("hash", "doc_id", "keys", *places))
     several = w.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("hash")
-    keys = stored(w.join(several, "hash", "left_semi").select("doc_id", F.explode("keys").alias("key")).distinct())
+    keys = stored(w.join(several, "hash", "left_semi").select("doc_id", *places, F.explode("keys").alias("key")).distinct())
     both = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
     return stored(keys.join(both, "key", "left_semi"))
 
@@ -99,9 +108,8 @@ def common(a: str, b: str, span: int = SPAN) -> bool:
     h = C.rolling(cp, span)
     x, y = h[: len(a) - span + 1], h[offsets[1] :]
     order = np.argsort(x)
-    at = np.searchsorted(x[order], y)
-    hit = np.flatnonzero((at < len(x)) & (x[order[np.minimum(at, len(x) - 1)]] == y))
-    return any(a[order[at[i]] : order[at[i]] + span] == b[i : i + span] for i in hit[:8]) if len(hit) else False
+    first, last = np.searchsorted(x[order], y), np.searchsorted(x[order], y, side="right")
+    return any(a[j : j + span] == b[i : i + span] for i in np.flatnonzero(first < last) for j in order[first[i] : last[i]])
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -129,33 +137,59 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(documents(spark, sf_dir))
 
 
-def shared_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, start, length of each maximal stretch (characters, from 0) whose every run of SPAN characters' worth occurs in another document.
+def shared_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, start, run of every run of SPAN characters (by its hash) that may occur in another document.
 
-    Linear in the documents: the runs of SPAN characters of the documents that have shared keys are counted by hash, no pairs are formed.
+    A run belongs to one compact window; only the runs of windows that share a key with another document are listed, so the rows follow the shared
+    text, not all text. No pairs are formed.
     """
-    docs = documents(spark, sf_dir)
-    keys = shared_keys(docs)
-    texts = docs.join(small(stored(keys.select("doc_id").distinct())), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    places = shared_keys(docs, "first", "last").groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("places"))  # at most the windows of a document
+    texts = docs.join(places, "doc_id").dropDuplicates(["doc_id"])
 
     def runs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            for i, t in zip(p["doc_id"], p["text"]):
+            for i, t, ranges in zip(p["doc_id"], p["text"], p["places"]):
                 h = C.rolling(C.codepoints([t])[0], SPAN).view(np.int64)
-                for s in range(0, len(h), 100_000):
-                    yield pd.DataFrame({"doc_id": i, "start": np.arange(s, min(s + 100_000, len(h))), "run": h[s : s + 100_000]})
+                inside = np.zeros(len(h) + 1, dtype=np.int64)
+                np.add.at(inside, [r["first"] for r in ranges], 1)
+                np.add.at(inside, [r["last"] + 1 for r in ranges], -1)
+                at = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+                for s in range(0, len(at), 100_000):
+                    yield pd.DataFrame({"doc_id": i, "start": at[s : s + 100_000], "run": h[at[s : s + 100_000]]})
+
+    return texts.select("doc_id", "text", "places").mapInPandas(runs, "doc_id bigint, start int, run bigint")
+
+
+def stretches(hit: DataFrame, *more) -> DataFrame:
+    """doc_id, start, length of each maximal stretch of overlapping runs (doc_id, start), and aggregates ``more`` of them; a window holds one document's runs."""
+    w = W.partitionBy("doc_id").orderBy("start")
+    new = F.coalesce(F.col("start") - F.lag("start").over(w) > SPAN, F.lit(True)).cast("int")
+    part = hit.withColumn("new", new).withColumn("part", F.sum("new").over(w))
+    out = part.groupBy("doc_id", "part").agg(F.min("start").alias("start"), (F.max("start") + SPAN - F.min("start")).alias("length"), *more)
+    return out.drop("part")
 
-    run = stored(texts.mapInPandas(runs, "doc_id bigint, start int, run bigint"))
+
+def shared_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length of each maximal stretch (characters, from 0) whose every run of SPAN characters' worth occurs in another document.
+
+    Linear in the shared text: runs are counted by hash, no pairs are formed.
+    """
+    run = stored(shared_runs(documents(spark, sf_dir)))
     several = run.groupBy("run").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("run")
-    hit = run.join(several, "run", "left_semi").select("doc_id", "start")
+    return stretches(run.join(several, "run", "left_semi").select("doc_id", "start").distinct())
+
 
-    def merge(g: pd.DataFrame) -> pd.DataFrame:  # one document's places
-        at = np.sort(g["start"].unique())
-        first = np.flatnonzero(np.r_[True, np.diff(at) > SPAN])
-        last = np.r_[first[1:] - 1, len(at) - 1]
-        return pd.DataFrame({"doc_id": g["doc_id"].iloc[0], "start": at[first], "length": at[last] + SPAN - at[first]})
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length, passage, n_documents: the stretches of ``shared_spans`` in classes.
 
-    return hit.groupBy("doc_id").applyInPandas(merge, "doc_id bigint, start int, length int")
+    The class of a stretch is its run of SPAN characters that most documents hold (ties to the smallest hash), n_documents their number: membership is one row per document
+    and stretch, where the pairs of a passage in m documents would be m squared.
+    """
+    run = stored(shared_runs(documents(spark, sf_dir)))
+    held = run.select("run", "doc_id").distinct().groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
+    most = F.max(F.struct("n", F.bitwise_not("run").alias("r"))).alias("most")
+    out = stretches(run.join(held, "run").select("doc_id", "start", "run", "n").distinct(), most)
+    return out.select("doc_id", "start", "length", F.bitwise_not("most.r").alias("passage"), F.col("most.n").alias("n_documents"))
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
