@@ -133,6 +133,30 @@ def louvain(edges: DataFrame, rounds: int = 12) -> DataFrame:
     return labels.select("node", "label")
 
 
+def centrality(edges: DataFrame) -> DataFrame:
+    """node, n (nodes reached, itself included), eccentricity, closeness, betweenness of every node with an undirected edge.
+
+    Breadth-first from all nodes at once, level by level: (source, node, distance, number of shortest paths) is stored, so this is for graphs whose components are small
+    beside the whole (all pairs inside each component are its result). Betweenness counts each pair of ends once.
+    """
+    near = stored(both_ways(edges))
+    front = stored(near.select("node").distinct().select(F.col("node").alias("s"), F.col("node").alias("v"), F.lit(0).alias("d"), F.lit(1.0).alias("k")))
+    seen, d = front, 0
+    while True:
+        d += 1
+        step = front.join(near.withColumnRenamed("node", "v"), "v").groupBy("s", F.col("other").alias("v")).agg(F.sum("k").alias("k"))
+        front = stored(step.join(seen.select("s", "v"), ["s", "v"], "left_anti").select("s", "v", F.lit(d).alias("d"), "k"))
+        if front.isEmpty():
+            break
+        seen = stored(seen.unionByName(front))
+    c = seen.groupBy(F.col("s").alias("node")).agg(F.count("*").alias("n"), F.max("d").alias("eccentricity"), ((F.count("*") - 1) / F.sum("d")).alias("closeness"))
+    x = seen.where("d > 0").select("s", "v", F.col("d").alias("d1"), F.col("k").alias("k1"))
+    y = seen.where("d > 0").select(F.col("s").alias("v"), F.col("v").alias("t"), F.col("d").alias("d2"), F.col("k").alias("k2"))
+    z = seen.select("s", F.col("v").alias("t"), "d", "k")
+    b = x.join(y, "v").join(z, ["s", "t"]).where("d1 + d2 = d").groupBy(F.col("v").alias("node")).agg((F.sum(F.col("k1") * F.col("k2") / F.col("k")) / 2).alias("betweenness"))
+    return c.join(b, "node", "left").select("node", "n", "eccentricity", "closeness", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+
+
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: sum over communities of inner edges / m - (degrees / 2m)^2, on undirected distinct edges."""
     e = stored(both_ways(edges).where("node < other").join(labels.select("node", F.col("label").alias("l1")), "node").join(labels.select(F.col("node").alias("other"), F.col("label").alias("l2")), "other"))
