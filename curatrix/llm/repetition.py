@@ -130,7 +130,12 @@ def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _code(column: str) -> Column:
     """The code of each label (null where it names no language)."""
-    return F.pandas_udf(lambda labels: labels.map(label_of, na_action="ignore"), "string", F.PandasUDFType.SCALAR)(column)
+
+    @F.pandas_udf("string")
+    def code(labels: pd.Series) -> pd.Series:
+        return labels.map(label_of, na_action="ignore")
+
+    return code(column)
 
 
 def thresholds(seen: DataFrame) -> DataFrame:
