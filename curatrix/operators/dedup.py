@@ -157,6 +157,43 @@ def near_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return classes_of(fp, lambda first: shingled(spread(docs.select("doc_id", "text").join(first, "doc_id", "left_semi"))), similar)
 
 
+def class_links(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, other, similarity of verified near-copies, enough to give every text its class: a star in each bucket instead of all its pairs.
+
+    (1) Every text is compared with the first of its bucket. (2) Those not similar to it are compared with the members of the bucket that are not yet in their class. Two
+    texts of a bucket that both are similar to its first are of one class without being compared, so no class is lost, and a bucket of near-copies costs one
+    comparison for each.
+    """
+    band = stored(banded(sets))
+    several = band.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("b")).where("first < b").select("key", "first")
+    rows = stored(band.join(several, "key"))
+    fits = lambda a, b: F.least(a, b) >= similar * F.greatest(a, b)
+    head = rows.where("doc_id = first").select("key", F.col("n").alias("m"))
+    star = rows.where("doc_id <> first").join(head, "key").where(fits("n", "m")).select("doc_id", F.col("first").alias("other")).distinct()
+    one = stored(verified(star, sets).where(F.col("similarity") >= similar))
+    settled = one.select("doc_id", F.col("other").alias("first"))
+    left = stored(rows.where("doc_id <> first").join(settled, ["doc_id", "first"], "left_anti"))
+    if left.isEmpty():
+        return one
+    comp = stored(components(one.select("doc_id", "other")))
+    of = rows.where("doc_id <> first").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
+    x = left.select("key", "doc_id").join(of, ["key", "doc_id"]).alias("x")
+    y = of.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & fits("x.n", "y.n")).select(F.greatest("x.doc_id", "y.doc_id").alias("doc_id"), F.least("x.doc_id", "y.doc_id").alias("other")).distinct()
+    return one.unionByName(verified(pairs, sets).where(F.col("similarity") >= similar))
+
+
+def near_class_ids(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, class_id (smallest doc_id), n_members of every document with text, by stars; the same classes as ``near_classes``, which counts all links."""
+    fp = stored(spread(docs.select("doc_id", "text").where("text is not null")).select("doc_id", F.md5(F.array_join(words(F.col("text")), " ")).alias("fp")))
+    exact = stored(representatives(fp, "fp"))
+    first = exact.where("doc_id = representative").select("doc_id")
+    sets = stored(shingled(spread(docs.select("doc_id", "text").join(first, "doc_id", "left_semi"))))
+    comp = components(class_links(sets, similar).select("doc_id", "other"))
+    of = stored(exact.join(comp.withColumnRenamed("node", "representative"), "representative", "left").select("doc_id", F.coalesce("component", "representative").alias("class_id")))
+    return of.join(of.groupBy("class_id").agg(F.count("*").alias("n_members")), "class_id").select("doc_id", "class_id", "n_members")
+
+
 def classes_of(fp: DataFrame, features: Callable[[DataFrame], DataFrame], similar: float = SIMILAR) -> DataFrame:
     """``near_classes`` from fingerprints (doc_id, fp; a stored table) and the shingle sets that ``features`` gives of the first documents (doc_id) of each fingerprint."""
     exact = stored(representatives(fp, "fp"))

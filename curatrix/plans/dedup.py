@@ -70,7 +70,13 @@ def dup_method_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @PLAN.add()
 def near_duplicate_classes(spark: SparkSession, d: str) -> DataFrame:
-    """One row per document with its class and number of links (five-shingles of words, CJK by character, 0.8 or more)."""
+    """One row per document with its class and the size of it (five-shingles of words, CJK by character, 0.8 or more)."""
+    return D.near_class_ids(_docs(spark, d))
+
+
+@PLAN.add()
+def near_duplicate_links(spark: SparkSession, d: str) -> DataFrame:
+    """One row per document with its class and its number of links to different texts: the similarity join."""
     return D.near_classes(_docs(spark, d))
 
 

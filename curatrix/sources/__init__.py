@@ -35,8 +35,8 @@ def _metadata(df: DataFrame, rest: list[str]) -> Column:
 def qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     """json, jsonl, csv, tsv, parquet or (where pandas can read it) xlsx.
 
-    Aliases q and a are accepted; both texts are trimmed; rows that lack one are dropped; a missing id is qa_ and the row's position within its
-    file part. Empty files give an empty table.
+    Aliases q and a are accepted; both texts are trimmed; rows that lack one are dropped; a missing id is qa_ and the row's position (from 0) in the files as they are
+    read, however they are split. Empty files give an empty table.
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "json":
@@ -54,11 +54,19 @@ def qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     side = lambda names: F.coalesce(*[F.col(n).cast("string") for n in names if n in df.columns] or [F.lit(None).cast("string")])
     rest = [c for c in df.columns if c not in ("question", "answer", "q", "a", "id", "_corrupt_record")]
     given = F.col("id").cast("string") if "id" in df.columns else F.lit(None).cast("string")
-    out = df.select(given.alias("id"), trimmed(side(("question", "q"))).alias("question"), trimmed(side(("answer", "a"))).alias("answer"), _metadata(df, rest).alias("metadata"), F.monotonically_increasing_id().alias("position"))
+    out = numbered(df.select(given.alias("id"), trimmed(side(("question", "q"))).alias("question"), trimmed(side(("answer", "a"))).alias("answer"), _metadata(df, rest).alias("metadata")))
     out = out.where("question is not null and answer is not null")
     return out.select(F.coalesce("id", F.concat(F.lit("qa_"), F.col("position"))).alias("id"), "question", "answer", "metadata")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Adds position: the number of rows before, over all parts in order. Only the counts of the parts (a row each) are summed up."""
+    df = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33)).withColumn("_row", F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+    n = df.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = n.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return df.join(F.broadcast(before), "_part").withColumn("position", F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
+
+
 def documents(spark: SparkSession, path: str, text: str = "Abstract", title: str = "论文标题") -> DataFrame:
     """doc_id, text, title, fingerprint from a JSON list of documents; fails if a document lacks its id."""
     df = spark.read.option("multiLine", True).json(path) if path.endswith(".json") else spark.read.parquet(path)
@@ -111,13 +119,45 @@ def graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def save(df: DataFrame, path: str, kind: str = "parquet", by: str | None = None) -> None:
-    """parquet, json (a line per row), csv or orc, optionally parted by a column; existing data is replaced."""
+    """parquet, json (a line per row), json_array (one array in one file), csv, orc or (where pandas can write it) xlsx, optionally parted by a column; existing data is replaced.
+
+    One file is written by one task, row by row; a sheet is gathered on the driver and holds at most 1,048,575 rows, more are refused.
+    """
+    if kind == "json_array":
+        row = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+        row.coalesce(1).mapInPandas(_array, "value string").write.mode("overwrite").text(path)
+        return
+    if kind == "xlsx":
+        rows = df.limit(SHEET + 1).toPandas()
+        if len(rows) > SHEET:
+            raise ValueError("a sheet has no room for so many rows")
+        rows.to_excel(path, index=False)
+        return
     w = df.write.mode("overwrite")
     w = w.partitionBy(by) if by else w
     w = w.option("header", True) if kind == "csv" else w
     w.format(kind).save(path)
 
 
+#: Rows of a sheet, its heading left out.
+SHEET = 1_048_575
+
+
+def _array(parts):
+    """Lines of one JSON array from lines of one object each."""
+    import pandas as pd
+
+    first = True
+    for p in parts:
+        if len(p):
+            v = ("," + p["value"]).tolist()
+            if first:
+                v[0] = "[" + v[0][1:]
+            first = False
+            yield pd.DataFrame({"value": v})
+    yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+
 def save_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     save(nodes, f"{path}/nodes", "json")
     save(edges, f"{path}/edges", "json")
