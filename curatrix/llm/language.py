@@ -41,9 +41,13 @@ FAMILIES = {"germanic": ("en", "de"), "romance": ("fr", "es")}
 MACHINES = ("family", "germanic", "romance")
 
 _WORD = re.compile(r"[^\W\d_㐀-鿿豈-﫿]{2,}")
-_CODES = re.compile(r"```.*?(?:```|$)|(?m:^\s*\|.*$)|\[\d+\]|[(（](?:Fig|Abb|图|Tab)[^)）]*[)）]?|✓|[A-Za-z0-9_.]*\d[A-Za-z0-9_]*(?:-\d+)*", re.S)
+_MARKS = re.compile(r"```.*?(?:```|$)|(?m:^\s*\|.*$)|\[\d+\]|[(（](?:Fig|Abb|图|Tab)[^)）]*[)）]?|✓", re.S)
+_CODES = re.compile(r"(?<![A-Za-z0-9_.])[A-Za-z0-9_.]*\d[A-Za-z0-9_]*(?:-\d+[A-Za-z0-9_]*)*")
 _SLOT = re.compile(SLOT_GRAMMAR)
+#: Characters and words without which a text has neither slot nor mark.
+_MAYBE_MARK = re.compile(r"[{<%@\[_（(`|✓]|undefined|NaN|null")
 _QUOTED = re.compile(r"[“„\"«][^“”„\"«».。!?！？]{1,40}[”“\"»]")
+_QUOTE = re.compile("[“„\"«]")
 _SPLIT = re.compile(r"(?<=[。！？!?；])|(?<=\.)\s+(?=[^a-zà-ÿ0-9\s])|\n+")
 _LATIN_RUN = re.compile(r"[^㐀-鿿]+")
 _CJK = re.compile(r"[㐀-鿿]")
@@ -82,13 +86,16 @@ def words(text: str) -> list[str]:
 
 def segments(text: str) -> list[str]:
     """Sentences of a text: split at stops and line ends, and inside a sentence where long runs of the two scripts meet."""
-    text = _CODES.sub(" ", _SLOT.sub(" ", unicodedata.normalize("NFC", text)))
+    text = text if text.isascii() else unicodedata.normalize("NFC", text)
+    if _MAYBE_MARK.search(text):
+        text = _MARKS.sub(" ", _SLOT.sub(" ", text))
+    text = _CODES.sub(" ", text)
     out = []
     for part in _SPLIT.split(text):
         if not part or not part.strip():
             continue
-        if _CJK.search(part) and _WORD.search(part):
-            plain = _QUOTED.sub(" ", part)
+        plain = _QUOTED.sub(" ", part) if _QUOTE.search(part) else part
+        if not part.isascii() and _CJK.search(part) and _WORD.search(part):
             part = plain if _WORD.search(plain) or _CJK.search(plain) else part
             long = [m for m in _LATIN_RUN.finditer(part) if len(_WORD.findall(m.group())) >= 4]
             if long and len(_CJK.findall(part)) >= 8:
@@ -98,8 +105,7 @@ def segments(text: str) -> list[str]:
                     at = m.end()
                 out.append(part[at:])
                 continue
-        else:
-            plain = _QUOTED.sub(" ", part)
+        elif plain is not part:
             part = plain if len(_WORD.findall(plain)) >= 2 else part
         out.append(part)
     return out
@@ -152,27 +158,38 @@ class Machines:
         return v
 
     def segment(self, text: str) -> tuple[str, float] | None:
-        """Language and confidence (0.5 to 1) of one segment; None if it has too little text."""
-        cjk = len(_CJK.findall(text))
-        ws = words(text)
-        if cjk >= 2 and cjk > 1.5 * len(ws):
-            return "zh", round(cjk / (cjk + 0.5 * len(ws) + 0.5), 4)
-        if len(ws) < 2:
-            return None
-        v = np.sum([self.word(w) for w in ws], axis=0)
-        m = v[:3] / math.sqrt(max(v[3], 1))
-        pair, margin = (FAMILIES["germanic"], m[1]) if m[0] > 0 else (FAMILIES["romance"], m[2])
-        sure = 1 / (1 + math.exp(-min(2 * abs(m[0]), 50))) / (1 + math.exp(-min(2 * abs(margin), 50)))
-        return (pair[0] if margin > 0 else pair[1]), round(sure, 4)
+        """Language and confidence (0.25 to 1) of one segment; None if it has too little text."""
+        return self.judge([text])[0]
+
+    def judge(self, texts: list[str]) -> list[tuple[str, float] | None]:
+        """``segment`` of many segments: every different word is scored once, segments are sums over their words."""
+        cjk = np.array([0 if t.isascii() else len(_CJK.findall(t)) for t in texts], dtype=np.int64)
+        each = [words(t) for t in texts]
+        n = np.array([len(ws) for ws in each], dtype=np.int64)
+        place: dict[str, int] = {}
+        at = np.fromiter((place.setdefault(w, len(place)) for ws in each for w in ws), dtype=np.int64, count=int(n.sum()))
+        v = np.zeros((len(texts), 4))
+        if len(at):
+            vectors, full = np.array([self.word(w) for w in place]), np.flatnonzero(n)
+            v[full] = np.add.reduceat(vectors[at], (np.cumsum(n) - n)[full])
+        m = v[:, :3] / np.sqrt(np.maximum(v[:, 3:], 1))
+        germanic = m[:, 0] > 0
+        margin = np.where(germanic, m[:, 1], m[:, 2])
+        sure = 1 / (1 + np.exp(-np.minimum(2 * np.abs(m[:, 0]), 50))) / (1 + np.exp(-np.minimum(2 * np.abs(margin), 50)))
+        names = np.where(germanic, np.where(margin > 0, *FAMILIES["germanic"]), np.where(margin > 0, *FAMILIES["romance"]))
+        chinese = (cjk >= 2) & (cjk > 1.5 * n)
+        names = np.where(chinese, "zh", names).tolist()
+        sure = np.round(np.where(chinese, cjk / (cjk + 0.5 * n + 0.5), sure), 4).tolist()
+        return [(g, c) if k else None for g, c, k in zip(names, sure, (chinese | (n >= 2)).tolist())]
+
+    def all_languages(self, texts: list[str]) -> list[list[tuple[str, str, float]]]:
+        """Of each text its segments with a language: (segment, language, confidence)."""
+        cut = [segments(t) for t in texts]
+        found = iter(self.judge([s for x in cut for s in x]))
+        return [[(s.strip(), *x) for s, x in zip(segs, found) if x] for segs in cut]
 
     def languages(self, text: str) -> list[tuple[str, str, float]]:
-        """Segments with a language: (segment, language, confidence). A text of no such segment is tried as a whole."""
-        out = []
-        for s in segments(text):
-            x = self.segment(s)
-            if x:
-                out.append((s.strip(), *x))
-        return out
+        return self.all_languages([text])[0]
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
@@ -189,13 +206,8 @@ def training_rows(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
 def train(spark: SparkSession, sf_dir: str) -> Machines:
     """Machines of a second round: labels that a first round is sure are wrong are left out."""
     rows = training_rows(spark, sf_dir)
-    first = Machines.train(rows)
-    kept = []
-    for s, lang in rows:
-        x = first.segment(s)
-        if x is None or x[0] == lang or x[1] < 0.7:
-            kept.append((s, lang))
-    return Machines.train(kept)
+    first = Machines.train(rows).judge([s for s, _ in rows])
+    return Machines.train([(s, lang) for (s, lang), x in zip(rows, first) if x is None or x[0] == lang or x[1] < 0.7])
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +222,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     def label(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             p["label"] = [label_of(x) for x in p["language"]]
-            p["segments"] = [[{"segment": s, "lang": g, "confidence": c} for s, g, c in model.languages(t)] for t in p["text"]]
+            p["segments"] = [[{"segment": s, "lang": g, "confidence": c} for s, g, c in x] for x in model.all_languages(p["text"].tolist())]
             yield p.drop(columns=["text"])
 
     return spread(fields(spark, sf_dir)).mapInPandas(label, "id string, language string, field string, label string, segments array<struct<segment string, lang string, confidence double>>")
