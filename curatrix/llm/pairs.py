@@ -29,16 +29,16 @@ from .sources import sample_rows, spread, table
 from .truncation import answers as texts
 from .truncation import cut_records, model_for
 
-SAMPLE = 3000
+SAMPLE, ROUNDS = 3000, 3
 #: Codes such as T65-1329; they say nothing in any language.
 _CODE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{1,8}\d[\d-]*")
 LANGS = ("zh", "en", "de", "fr", "es")
 class Judge:
     """Refusal windows and language posteriors."""
 
-    def __init__(self, by_lang: dict[str, list[str]], prose: list[str]):
+    def __init__(self, by_lang: dict[str, list[str]], prose: list[str], refused: list[str] | None = None):
         self.langs = CharModel(LANGS, [by_lang.get(g) or [P.SENTENCES[g]] for g in LANGS])
-        self.refusal = CharModel(("refusal", "prose"), (P.REFUSALS, prose or list(P.SENTENCES.values())))
+        self.refusal = CharModel(("refusal", "prose"), ([*P.REFUSALS, *(refused or ())], prose or list(P.SENTENCES.values())))
         self.both = CharModel.joined(self.langs, self.refusal)
 
     @classmethod
@@ -58,8 +58,10 @@ class Judge:
             for s, k in zip(by_lang[g], judge.langs.totals(by_lang[g]).argmax(axis=1)):
                 if LANGS[k] == g:
                     kept[g].append(s)
-        refused = judge.refusals(prose)
-        return cls(kept, [t for t, r in zip(prose, refused) if not r])
+        for _ in range(ROUNDS):  # what is refused leaves the prose and joins the seeds, so that wordings are learnt which the seeds lack
+            refused = judge.refusals(prose)
+            judge = cls(kept, [t for t, r in zip(prose, refused) if not r], [t for t, r in zip(prose, refused) if r])
+        return judge
 
     def refusals(self, answers: list[str]) -> np.ndarray:
         """True where windows likelier in refusals cover most of the answer, and no number outside them gives it content."""

@@ -1,110 +1,166 @@
-"""Seed texts from which the small models start; all are fixed values, plain text by kind and language."""
+"""Seed texts from which the small models start; all are fixed values, plain text by kind and language.
+
+No sentence of them stands in the test tables (case and punctuation apart); tests/llm/test_seeds.py checks it.
+"""
 
 #: Error pages and notices.
 NOTICES = """
-Please enable JavaScript to view this content.
-Your browser does not run scripts; turn them on and reload the page.
-This application needs scripts to be switched on in your browser.
+turn them on and reload the page.
 JavaScript is disabled. You need to enable JavaScript to run this app.
 For full use of this page a newer browser with scripting is required.
-Interactive content is hidden because scripting is turned off.
 Error 404: the requested page could not be found. Reference number.
 404 Not Found. 500 Internal Server Error. 502 Bad Gateway. 403 Forbidden.
-503 Service unavailable. Please try again in a few minutes.
-Access denied. You do not have permission to view this item.
-Something went wrong while loading this item. Please try again later.
-Your session has expired, sign in again to continue.
-Too many requests from your address. Wait a few seconds.
-The server took too long to answer. Gateway timeout.
+Please try again in a few minutes.
+You do not have permission to view this item.
+Please try again later.
+Wait a few seconds.
+Gateway timeout.
 The connection was reset while the document was loading.
 Checking your browser before opening the page, one moment.
-We could not find what you were looking for. Return to the home page.
+Return to the home page.
 Traceback: upstream said an error occurred
 <html><head><title>Error</title></head></html>
 {"status": "error", "detail": "something went wrong"}
 Bitte aktivieren Sie JavaScript, um den Inhalt anzuzeigen.
-Ihr Browser führt keine Skripte aus; bitte einschalten und die Seite neu laden.
+bitte einschalten und die Seite neu laden.
 Diese Anwendung benötigt eingeschaltete Skripte im Browser.
-Fehler 404: Die gewünschte Seite wurde nicht gefunden. Kennung.
+Fehler 404: Die gewünschte Seite wurde nicht gefunden.
 Zugriff verweigert, der Eintrag ist gesperrt.
 Der Dienst ist zurzeit nicht erreichbar, bitte in einigen Minuten erneut versuchen.
 Ihre Sitzung ist abgelaufen, bitte melden Sie sich erneut an.
 Zu viele Anfragen. Bitte warten Sie einen Augenblick.
 Beim Laden ist ein Fehler aufgetreten.
-Veuillez activer JavaScript pour afficher le contenu.
-Votre navigateur n'exécute pas les scripts ; activez-les puis rechargez la page.
 Cette application a besoin des scripts dans votre navigateur.
-Erreur 404 : la page demandée est introuvable. Référence.
+Erreur 404 : la page demandée est introuvable.
 Accès refusé, la fiche est protégée.
 Le service est indisponible, réessayez dans quelques minutes.
 Votre session a expiré, veuillez vous reconnecter.
 Trop de requêtes. Veuillez patienter.
 Une erreur est survenue pendant le chargement.
 Active JavaScript para ver este contenido.
-Su navegador no ejecuta scripts; actívelos y recargue la página.
 Esta aplicación necesita scripts activados en el navegador.
-Error 404: no se encontró la página solicitada. Referencia.
+Error 404: no se encontró la página solicitada.
 Acceso denegado, la ficha está protegida.
 El servicio no está disponible, inténtelo dentro de unos minutos.
 Su sesión ha caducado, inicie sesión de nuevo.
 Demasiadas solicitudes. Espere unos segundos.
 Se produjo un error al cargar el contenido.
-请启用脚本后查看本页内容。
 您的浏览器未运行脚本，请开启后刷新页面。
-本应用需要在浏览器中打开脚本功能。
 完整使用本页面需要支持脚本的新版浏览器。
-脚本功能已关闭，互动内容无法显示。
 请启用 JavaScript 后继续浏览。
-错误404：您访问的页面不存在，参考号。
 没有权限查看该条目，访问被拒绝。
 服务暂时不可用，请稍后重试。
-加载该条目时出现问题，代码。
-登录已过期，请重新登录后继续浏览。
 请求过于频繁，请等待几秒。
 服务器响应超时，工单号。
 文档加载过程中连接被重置。
-正在检查您的浏览器，请稍候，编号。
-没有找到您要的内容，请返回首页。
+Scripts are blocked in this browser. Allow them and open the page again.
+Switch on scripting to use this site. The page cannot be shown without scripts.
+An up-to-date browser with script support is needed for this view.
+The address you entered does not exist on this server. Check the link.
+Nothing was found here. Back to our start page, please.
+This content is for members only. Log in first. You have no right to see it.
+You have been logged out. Log in once more to go on.
+The service is overloaded or down for maintenance. Come back later.
+Requests were sent too often. Slow down and try again after a pause.
+An internal error occurred and the operation was not completed. Ticket number.
+The server did not respond in time. The connection was closed. Request code.
+We are verifying that you are human. This may take a moment.
+Skripte sind blockiert. Ohne Skripte kann die Seite nicht angezeigt werden, bitte Browser einstellen.
+Die Adresse gibt es auf diesem Server nicht. Zurück zur Startseite.
+Sie haben keine Berechtigung für diesen Inhalt. Melden Sie sich zuerst an.
+Wartungsarbeiten: der Server antwortet nicht. Versuchen Sie es später noch einmal. Vorgangsnummer.
+Interner Fehler, der Vorgang wurde abgebrochen.
+Les scripts sont bloqués. Sans eux la page ne peut pas s'afficher dans le navigateur.
+L'adresse n'existe pas sur ce serveur. Retour à l'accueil.
+Vous n'avez pas le droit de voir ce contenu. Connectez-vous d'abord.
+Le serveur ne répond pas, maintenance en cours. Essayez plus tard. Numéro de dossier.
+Erreur interne, l'opération a été interrompue.
+Los scripts están bloqueados. Sin ellos la página no se puede mostrar en el navegador.
+La dirección no existe en este servidor. Volver al inicio.
+No tiene permiso para ver este contenido. Identifíquese primero.
+El servidor no responde, hay mantenimiento. Pruebe más tarde. Número de caso.
+Error interno, la operación se interrumpió.
+浏览器禁止了脚本，页面内容不能显示，请打开脚本后重试。
+需要开启脚本才能使用此网站，请更换新版浏览器。
+网址不存在，页面未找到，请返回主页。
+没有相关内容，请检查链接，编号。
+您无权查看此内容，请先登录。
+会话超时，您已退出，请再次登录。
+系统繁忙或正在维护，请过一会儿再试。
+访问太频繁，请稍等片刻再操作。
+内部错误，操作未完成，工单编号，请联系管理员。
+服务器没有响应，连接已断开，请求代码。
+正在确认您是真人，请稍等，检查完成后自动跳转。
+本站的应用要求在浏览器里打开脚本，代码。
+程序需要浏览器的脚本功能才能运行，编号。
+""".strip().split("\n")
+
+#: Real questions about errors, browsers and access; they are prose.
+ASKED = """
+Why does the browser of this machine show an error page after the update, and when did it first appear?
+Which entry of the log says that access to the part was denied or that a script was blocked?
+What should be done when the display reports error 500 or that a file could not be found?
+How long does the server of the line take to answer before the session expires?
+Warum zeigt der Browser des Geräts nach der Aktualisierung einen Fehler, und seit wann?
+Welcher Eintrag im Protokoll meldet, dass der Zugriff verweigert oder ein Skript blockiert wurde?
+Was ist zu tun, wenn die Anzeige Fehler 404 meldet oder die Seite nicht lädt?
+Pourquoi le navigateur de la machine affiche-t-il une erreur après la mise à jour ?
+Quelle ligne du journal signale un accès refusé ou un script bloqué ?
+¿Por qué muestra el navegador del equipo un error después de la actualización?
+¿Qué línea del registro avisa de un acceso denegado o de un script bloqueado?
+为什么这台设备的浏览器在更新之后显示错误页面？
+日志里哪一条记录提示访问被拒绝或者脚本被禁止？
+显示屏报告错误代码或者页面无法加载时应该怎么处理？
 """.strip().split("\n")
 
 #: Filler and unfilled forms.
 FILLER = """
-Insert question here
-Question goes here. Question goes here.
 TBD: write the question for this item here
 TODO: add the question text
 Sample question text, to be replaced before release
 This is dummy text used to show the layout of the card.
 Intro for section, final copy to follow
-Lead text for the block; real wording follows later
-(empty template, version)
-test test test
-asdf asdf qwer
+Lead text for the block;
 Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.
 Lorvem ipsar dolen sitam consetra dipisan elit sed dovar tempis incidar ut laborent magnis veniar quistro nostrem.
 xxxxx xxxxx
-Dies ist ein Blindtext für die Karte.
 Hier steht später der Fragetext, bitte ersetzen
 Noch offen: Frage formulieren
 Platzhalter für die Frage
 (leere Vorlage, Fassung)
-Ceci est un texte fictif pour la fiche.
-À compléter : question
 Ici viendra le texte de la question, à remplacer
 (modèle vide, version)
 Este es un texto de relleno para la ficha.
 Aquí irá el texto de la pregunta, pendiente de cambiar
 Por completar: pregunta
 (plantilla vacía, versión)
-请在这里输入问题
 待补充：问题内容
-问题内容问题内容问题内容问题内容
 此处为示例问题文字，发布前请替换
 这是一段用于展示卡片排版的占位文字。
 版块的导语，正式文字稍后提供
-（空白模板，版本）
-测试测试测试
-[[ ]]
+Your question here
+Replace this text. Replace this text. Replace this text.
+Text text text. Question question question.
+Example only, wording to be supplied later
+Placeholder line, not for publication
+(blank form, draft)
+foo bar baz foo bar
+qwerty qwerty asdfgh
+aaa bbb ccc
+Hier Text einfügen. Mustertext, wird noch ersetzt
+(leeres Formular, Entwurf)
+Insérer le texte ici. Texte d'exemple, à changer plus tard
+(formulaire vide, brouillon)
+Insertar el texto aquí. Texto de ejemplo, se cambiará después
+(formulario vacío, borrador)
+请在此填写题目。请输入内容。
+此处填写问题文字，样例待替换。
+占位内容，正式文字以后补充。
+（空白表格，草稿）
+样例样例样例 题目题目题目 内容内容内容
+在这里填写题目（序号）。请把问题写在这里。
+（模板为空，编号）
+This is a test entry. Testing, testing. Test question, test answer, tests
 """.strip().split("\n")
 
 #: Names that templates put into slots.
@@ -117,30 +173,40 @@ SLOT_GRAMMAR = r"\{\{[^{}]{0,60}\}\}|[$#]\{[^{}]{0,60}\}|<%.{0,60}?%>|@@\w+@@|%\
 
 #: Refusals.
 REFUSALS = """
-I'm sorry, but I can't help with this request. Please consult a specialist.
-Sorry, I cannot provide an answer here. Let us talk about another topic.
+Sorry, I cannot provide an answer here.
 As an AI assistant, I am not able to answer questions on this subject.
-I apologise; I must decline to discuss this. Is there anything else you would like to ask?
-Unfortunately, I don't have enough information to respond to this.
+I must decline to discuss this.
 I am unable to comply with that request. I won't answer this. I cannot assist with that.
 As an AI language model I can't provide that information. I regret that I cannot answer.
-Es tut mir leid, aber ich kann diese Frage nicht beantworten. Bitte fragen Sie eine Fachkraft.
+Es tut mir leid, aber ich kann diese Frage nicht beantworten.
 Als KI-Assistent darf ich dazu keine Auskunft geben. Kann ich Ihnen sonst helfen?
 Leider fehlen mir die nötigen Angaben für eine Antwort. Darüber kann ich nicht sprechen.
 Entschuldigung, ich muss diese Anfrage ablehnen. Ich bin nicht in der Lage, das zu beantworten.
-Je suis désolé, mais je ne suis pas en mesure de fournir cette information.
-En tant qu'assistant, je ne peux pas répondre à cette question. Puis-je vous aider sur un autre sujet ?
-Malheureusement, il me manque des éléments pour répondre. Veuillez consulter un spécialiste.
 Je regrette, je dois refuser de parler de ce sujet.
-Lo siento, pero no puedo responder a esta pregunta. Consulte a un especialista.
-Como asistente de IA, no estoy en condiciones de dar esa información. ¿Puedo ayudarle con otro asunto?
+Consulte a un especialista.
+Como asistente de IA, no estoy en condiciones de dar esa información.
 Lamentablemente me faltan datos para contestar. Debo rechazar hablar de este tema.
 Disculpe, no me es posible ayudarle con esta petición.
-抱歉，我不能就这个问题提供答复。建议咨询专业人员。
-对不起，这个请求我帮不上忙，我们换个话题吧。
+抱歉，我不能就这个问题提供答复。
 作为人工智能助手，我无法回答关于它的这个问题。
-很遗憾，现有信息不足，我没有办法作答。请问还有其他问题吗？
-我必须拒绝讨论这个话题。我不便回答这个问题。
+我必须拒绝讨论这个话题。 我不便回答这个问题。
+I can't assist with this. I have to refuse. That is not something I may discuss.
+There is not enough information here for me to reply. I lack the details for an answer.
+Sorry, this is a question I can't answer. Ask an expert instead. Let us choose something else to talk about.
+Can I help you with anything else? I apologise for that.
+As an assistant I must not give an answer to it.
+Leider kann ich dazu nichts sagen. Wenden Sie sich an einen Experten. Reden wir über etwas anderes.
+Mir fehlen die Informationen, um das zu beantworten. Haben Sie eine andere Frage?
+Désolé, je ne peux pas donner cette réponse. Adressez-vous à un expert. Parlons d'autre chose.
+Je n'ai pas assez d'informations pour répondre. Avez-vous une autre question ?
+En tant qu'IA, je ne dois pas répondre à cette demande.
+Perdone, no puedo dar esa respuesta. Diríjase a un experto. Hablemos de otra cosa.
+No tengo suficiente información para responder. ¿Tiene otra pregunta?
+Como IA no debo contestar a esa solicitud.
+抱歉，我无法为您解答。请向专家咨询。我们谈谈别的吧。
+不好意思，这个忙我帮不了，换一个问题吧。
+信息不够，我不能给出答复。您还有别的问题吗？
+作为智能助手，我不能就此作答。很抱歉，恕我不能讨论。
 """.strip().split("\n")
 
 #: Ordinary sentences by language; they start the language models where a table has few labels.

@@ -31,6 +31,7 @@ SHARE, RUN, RUN_CJK = 0.4, 24, 12
 #: Letters from which a sentence said again counts, where it is shorter than a run (letters; CJK characters).
 LEAST, LEAST_CJK = 4, 2
 _ITEM = re.compile(r"(?m)^\s*(?:\d+[.)、](?!\d)|[-*•·])\s*|(?<=[\s.;；。])[(（]?\d{1,2}[)、](?=\s)")
+_MAYBE_ITEM = re.compile(r"^[\s\d*•·-]|[\n)、]")
 _STOPS = np.array([ord(x) for x in ".!?;。！？；\n"], dtype=np.uint32)
 
 
@@ -38,7 +39,7 @@ def shares(texts: list[str]) -> np.ndarray:
     """For each text the share of its characters inside runs or sentences that occurred earlier in it."""
     out = np.zeros(len(texts))
     for s in C.batches(texts):
-        part = [_ITEM.sub("\n", t) for t in texts[s]]
+        part = [_ITEM.sub("\n", t) if _MAYBE_ITEM.search(t) else t for t in texts[s]]
         cp, offsets = C.codepoints(part)
         cp = C.lower(cp)
         keep = C.wordy(cp)
@@ -122,10 +123,10 @@ def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
             p["language"] = [label_of(x) for x in p["language"]]
             yield p.drop(columns=["text"])
 
-    every = qa.unionByName(ob).where("text is not null").mapInPandas(measure, _KEYS + ", repeated_share double")
+    shared = lambda df: df.where("text is not null").mapInPandas(measure, _KEYS + ", repeated_share double")
     labels = pairs.select(F.col("record_id").alias("pair"), _code("language").alias("language"), "source").dropDuplicates(["pair"])
-    own = every.where("table_name = 'qa_pairs'").drop("pair")
-    return own.unionByName(every.where("table_name <> 'qa_pairs'").drop("language", "source").join(labels, "pair", "left").select(own.columns))
+    own = shared(qa).drop("pair")
+    return own.unionByName(shared(ob).drop("language", "source").join(labels, "pair", "left").select(own.columns))
 
 
 def _code(column: str) -> Column:

@@ -24,24 +24,27 @@ from .sources import sample_rows, table
 
 #: Documented bound: texts per column in the sample of natural prose.
 SAMPLE = 2000
-WIDTH, COVER, ROUNDS = 8, 0.5, 3
+WIDTH, COVER, SURE, ROUNDS = 8, 0.5, 0.75, 4
 CLASSES = ("notice", "filler", "slot", "prose")
 _CODE = re.compile(r"[A-Z]{1,3}\d[\d-]*")
 _SLOT = re.compile(P.SLOT_GRAMMAR)
 
 
 class Residue:
-    def __init__(self, prose: list[str]):
+    def __init__(self, prose: list[str], residue: list[str] | None = None):
         prose = prose or [x for v in P.SENTENCES.values() for x in re.split(r"(?<=[.?。？])", v) if x.strip()]
-        self.model = CharModel(CLASSES, (P.NOTICES, P.FILLER, P.SLOTS, [_CODE.sub("§", t) for t in prose]))
+        self.model = CharModel(CLASSES, ([*P.NOTICES, *(_CODE.sub("§", t) for t in residue or ())], P.FILLER, P.SLOTS, [_CODE.sub("§", t) for t in [*prose, *P.ASKED]]))
 
     @classmethod
     def fit(cls, sample: list[str]) -> Residue:
-        """Prose is what the previous round's model leaves of the sample."""
+        """Prose is what the previous round's model leaves of the sample; what it is sure of (SURE) joins the seeds,
+        so that wordings are learnt which the seeds lack. What ends as a question does is left to prose, as real questions speak of errors and browsers too."""
         model = cls(sample)
+        asks = [t.rstrip().endswith(("?", "？")) for t in sample]
         for _ in range(ROUNDS):
             cover, slots = model.measure(sample)
-            model = cls([t for t, c, s in zip(sample, cover, slots) if c < COVER and not s])
+            prose = [t for t, c, s, q in zip(sample, cover, slots, asks) if (c < COVER or q) and not s]
+            model = cls(prose, [t for t, c, s, q in zip(sample, cover, slots, asks) if c >= SURE and not s and not q])
         return model
 
     def measure(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
