@@ -159,6 +159,7 @@ Insertar el texto aquí. Texto de ejemplo, se cambiará después
 （空白表格，草稿）
 样例样例样例 题目题目题目 内容内容内容
 在这里填写题目（序号）。请把问题写在这里。
+测试条目，测试用，测试一下，再测试
 （模板为空，编号）
 This is a test entry. Testing, testing. Test question, test answer, tests
 """.strip().split("\n")
