@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("text", "dedup", "rules", "metrics", "scores", "graph", "dataset", "synthesis", "extras", "obfuscation", "trajectories", "sampling", "extraction", "questions")
+MODULES: tuple[str, ...] = ("text", "dedup", "rules", "metrics", "scores", "graph", "dataset", "synthesis", "extras", "obfuscation", "trajectories", "sampling", "extraction", "questions", "generation")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
