@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from curatrix.functions import models as M
+from curatrix.functions import rules as RULES
 from curatrix.functions import text as T
 from curatrix.operators import search
 
@@ -128,3 +129,23 @@ def similar_entities(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of entity names of one type whose Ratcliff-Obershelp ratio is 0.85 or more, and the entity each is merged into."""
     e = read(spark, d, "entities").where("text is not null").select("entity_id", "type", F.lower(F.trim("text")).alias("name"))
     return search.similar_strings(e, "entity_id", "name", "type", 0.85)
+
+
+_IDENTIFIER = r"substr(regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '_', 'g'), 1, 30)"
+
+
+@PLAN.add(f"""WITH t AS (SELECT entity_id, {_IDENTIFIER} AS t, coalesce(confidence, 0.8) AS confidence FROM entities WHERE text IS NOT NULL), i AS (SELECT entity_id, confidence, CASE WHEN replace(t, '_', '') = '' THEN 'entity' WHEN regexp_matches(t, '^[0-9]') THEN 'e_' || t ELSE t END AS t FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY entity_id) AS k FROM i)
+SELECT entity_id, CASE WHEN k = 1 THEN t ELSE t || '_' || (k - 1) END AS node_id, round(confidence, 6) AS confidence FROM r WHERE confidence >= 0.5""")
+def validated_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Entities with a text, unique identifiers (repeated ones get a number), a confidence (0.8 where it is missing) of at least a half."""
+    e = read(spark, d, "entities").where("text is not null").select("entity_id", RULES.identifier(F.col("text")).alias("t"), F.coalesce("confidence", F.lit(0.8)).alias("confidence"))
+    k = F.row_number().over(W.partitionBy("t").orderBy("entity_id"))
+    return e.withColumn("k", k).where("confidence >= 0.5").select("entity_id", F.when(F.col("k") == 1, F.col("t")).otherwise(F.concat_ws("_", "t", (F.col("k") - 1).cast("string"))).alias("node_id"), F.round("confidence", 6).alias("confidence"))
+
+
+@PLAN.add()
+def pretty_json(spark: SparkSession, d: str) -> DataFrame:
+    """Subgraphs as indented JSON, and as text of names and values; DuckDB indents otherwise, so tests read it back."""
+    s = read(spark, d, "subgraphs")
+    plain = F.concat_ws("\n", *[F.concat_ws(": ", F.lit(c), F.col(c).cast("string")) for c in ("subgraph_id", "topology", "complexity")])
+    return s.select("subgraph_id", F.to_json(F.struct(*s.columns), {"pretty": "true"}).alias("json"), plain.alias("plain"))

@@ -159,3 +159,32 @@ def node_centrality(spark: SparkSession, d: str) -> DataFrame:
     """Reach, eccentricity, closeness and betweenness of the nodes of each subgraph (nodes named by their subgraph), undirected."""
     c = G.centrality(inside(spark, d))
     return c.select("node", "n", "eccentricity", F.round("closeness", 6).alias("closeness"), F.round("betweenness", 6).alias("betweenness"))
+
+
+@PLAN.add(f"WITH RECURSIVE {_E}, u AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM e WHERE src <> dst), w AS (SELECT a AS node, b AS other FROM u UNION ALL SELECT b, a FROM u), r(s, v, d) AS (SELECT DISTINCT node, node, 0 FROM w UNION SELECT r.s, w.other, r.d + 1 FROM r JOIN w ON w.node = r.v WHERE r.d < 4) SELECT s AS a, v AS b, min(d) AS hops FROM r WHERE s < v GROUP BY 1, 2 HAVING min(d) >= 2")
+def hop_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of nodes whose shortest path has two to four edges; all pairs are the result, so this is for small graphs such as this one."""
+    e = edges(spark, d)
+    far = G.distances(e, e.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), 4)
+    return far.where("source < node and hops >= 2").select(F.col("source").alias("a"), F.col("node").alias("b"), "hops")
+
+
+@PLAN.add(f"WITH RECURSIVE {_E}, {_N}, s AS (SELECT DISTINCT subgraph_id, src AS a, dst AS b FROM e WHERE src <> dst), w AS (SELECT subgraph_id, a AS node, b AS other FROM s UNION SELECT subgraph_id, b, a FROM s), r(g, s, v, d) AS (SELECT DISTINCT subgraph_id, node, node, 0 FROM n UNION SELECT r.g, r.s, w.other, r.d + 1 FROM r JOIN w ON w.subgraph_id = r.g AND w.node = r.v WHERE r.d < 10), m AS (SELECT g, s, v, min(d) AS d FROM r GROUP BY 1, 2, 3), k AS (SELECT subgraph_id, count(DISTINCT node) AS n FROM n GROUP BY 1) SELECT g AS subgraph_id, CASE WHEN count(*) = any_value(k.n) ** 2 THEN max(d) ELSE 1 END AS longest FROM m JOIN k ON k.subgraph_id = m.g GROUP BY 1")
+def longest_paths(spark: SparkSession, d: str) -> DataFrame:
+    """The greatest distance of two nodes of each subgraph; 1 where it is not connected."""
+    c = G.centrality(inside(spark, d)).select(F.substring_index("node", "@", -1).alias("subgraph_id"), "n", "eccentricity")
+    k = nodes(spark, d).groupBy("subgraph_id").agg(F.count_distinct("node").alias("nodes"))
+    m = c.groupBy("subgraph_id").agg(F.min("n").alias("least"), F.count("*").alias("linked"), F.max("eccentricity").alias("d"))
+    whole = (F.col("least") == F.col("nodes")) & (F.col("linked") == F.col("nodes"))
+    return k.join(m, "subgraph_id", "left").select("subgraph_id", F.when(F.col("nodes") == 1, 0).when(whole, F.col("d")).otherwise(1).alias("longest"))
+
+
+@PLAN.add(f"WITH {_E}, {_N}, o AS (SELECT DISTINCT subgraph_id, src AS node, relation FROM e), t AS (SELECT DISTINCT subgraph_id, node, type FROM n), p AS (SELECT x.subgraph_id, x.node AS a, y.node AS b, x.type FROM t x JOIN t y ON x.subgraph_id = y.subgraph_id AND x.type = y.type AND x.node < y.node), r AS (SELECT p.subgraph_id, p.a, p.b, min(x.relation) AS relation FROM p JOIN o x ON x.subgraph_id = p.subgraph_id AND x.node = p.a JOIN o y ON y.subgraph_id = p.subgraph_id AND y.node = p.b AND y.relation = x.relation GROUP BY 1, 2, 3) SELECT p.subgraph_id, p.a, p.b, coalesce(r.relation, p.type) AS aspect FROM p LEFT JOIN r USING (subgraph_id, a, b)")
+def comparison_aspects(spark: SparkSession, d: str) -> DataFrame:
+    """What two nodes of one type in a subgraph can be compared by: a relation both have, else their type."""
+    t = nodes(spark, d).select("subgraph_id", "node", "type").distinct()
+    x, y = t.alias("x"), t.alias("y")
+    p = x.join(y, (F.col("x.subgraph_id") == F.col("y.subgraph_id")) & (F.col("x.type") == F.col("y.type")) & (F.col("x.node") < F.col("y.node"))).select("x.subgraph_id", F.col("x.node").alias("a"), F.col("y.node").alias("b"), "x.type")
+    o = edges(spark, d).groupBy("subgraph_id", F.col("src").alias("node")).agg(F.collect_set("relation").alias("r"))  # the relations of one node of a subgraph
+    j = p.join(o.select("subgraph_id", F.col("node").alias("a"), F.col("r").alias("ra")), ["subgraph_id", "a"], "left").join(o.select("subgraph_id", F.col("node").alias("b"), F.col("r").alias("rb")), ["subgraph_id", "b"], "left")
+    return j.select("subgraph_id", "a", "b", F.coalesce(F.array_min(F.array_intersect("ra", "rb")), "type").alias("aspect"))
