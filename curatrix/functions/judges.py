@@ -1,6 +1,6 @@
 """Calls of outside judges: prompts, batched calls with retries, parsing of answers of several shapes, and a cache of judgements as a table.
 
-A judge is a function from a list of prompts to a list of responses (strings, or None for a failure); it may call a service or run a model. The default needs
+A judge is a function from a list of prompts to a list of responses (strings, or None for no answer), which raises where it fails; it may call a service or run a model. The default needs
 neither: it answers by rule, in the form a model would. Judgements are asked once for each distinct prompt and joined back by key.
 """
 
@@ -56,26 +56,25 @@ JUDGES: dict[str, Judge] = {"rule": by_rule}
 
 
 def ask(df: DataFrame, judge: Judge, tries: int = TRIES, wait: float = WAIT, batch: int = BATCH) -> DataFrame:
-    """Adds response to rows with a column prompt: calls in batches, failed prompts asked again after a growing pause; null where all tries fail."""
+    """Adds response to rows with a column prompt: calls in batches; a batch whose call raises is asked again after a growing pause.
+
+    Null where all tries fail, and where the judge itself gives None (no answer: it is not asked again).
+    """
+
+    def answers(prompts: list[str]) -> list[str | None]:
+        for n in range(tries):
+            try:
+                return list(judge(prompts))
+            except Exception:  # noqa: BLE001 - whatever a service raises is a failed try
+                if n + 1 < tries:
+                    time.sleep(wait * (n + 1))
+        return [None] * len(prompts)
 
     def call(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            p["response"] = None
-            for s in range(0, len(p), batch):
-                open_ = list(p.index[s : s + batch])
-                for n in range(tries):
-                    try:
-                        got = list(judge([p.at[i, "prompt"] for i in open_]))
-                    except Exception:  # noqa: BLE001 - whatever a service raises is a failed try
-                        got = [None] * len(open_)
-                    for i, r in zip(open_, got):
-                        p.at[i, "response"] = r
-                    open_ = [i for i, r in zip(open_, got) if r is None]
-                    if not open_:
-                        break
-                    if n + 1 < tries:
-                        time.sleep(wait * (n + 1))
-            yield p
+            prompts = p["prompt"].tolist()
+            got = [r for s in range(0, len(prompts), batch) for r in answers(prompts[s : s + batch])]
+            yield p.assign(response=pd.Series(got, index=p.index, dtype=object))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInPandas(call, fields + ", response string")
