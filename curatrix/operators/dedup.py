@@ -52,6 +52,11 @@ def hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % F.lit(PRIME))
 
 
+def quick(tokens: Column) -> Column:
+    """Hashes of tokens below PRIME by Spark's own 64-bit hash, where no other engine has to have the same."""
+    return F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(PRIME)))
+
+
 def blank_words(c: Column) -> Column:
     """Words of the preprocessed text as blanks part them: Chinese is left whole between punctuation marks, accented letters part words."""
     return F.filter(F.split(T.preprocess(c), " "), lambda w: w != "")
@@ -72,9 +77,9 @@ def terms(c: Column) -> Column:
     return T.let(_untagged(c), lambda t: F.concat(T.found(t, WORD), F.regexp_extract_all(t, F.lit(PAIR), F.lit(1))))
 
 
-def shingled(docs: DataFrame, size: int = SHINGLE, split: Callable[[Column], Column] = words) -> DataFrame:
+def shingled(docs: DataFrame, size: int = SHINGLE, split: Callable[[Column], Column] = words, hashes: Callable[[Column], Column] = quick) -> DataFrame:
     """doc_id, shingles: distinct hashes of word runs of the text; texts with fewer words have none."""
-    return docs.select("doc_id", F.array_distinct(T.let(T.ngrams(split(F.col("text")), size, " "), hashed)).alias("shingles")).where("size(shingles) > 0")
+    return docs.select("doc_id", F.array_distinct(T.let(T.ngrams(split(F.col("text")), size, " "), hashes)).alias("shingles")).where("size(shingles) > 0")
 
 
 def banded(sets: DataFrame, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:

@@ -89,7 +89,7 @@ def _minhash(i: int) -> str:
 s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 3), lambda i: CAST(('0x' || substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 8)) AS BIGINT) % {D.PRIME})) AS h FROM w WHERE len(w) >= 5)
 SELECT doc_id, len(h) AS n_shingles, {', '.join(f'{_minhash(i)} AS m{i}' for i in range(4))} FROM s""")
 def minhash_signature(spark: SparkSession, d: str) -> DataFrame:
-    s = D.shingled(_docs(spark, d).where("text is not null"), split=D.blank_words)
+    s = D.shingled(_docs(spark, d).where("text is not null"), split=D.blank_words, hashes=D.hashed)
     sig = s.select("doc_id", F.size("shingles").cast("bigint").alias("n_shingles"), T.let(F.col("shingles"), lambda x: D.signature(x, 4)).alias("s"))
     return sig.select("doc_id", "n_shingles", *[F.col("s")[i].alias(f"m{i}") for i in range(4)])
 
