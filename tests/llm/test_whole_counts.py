@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from curatrix.llm import truncation
+from curatrix.llm import residue, truncation
 
 from .conftest import QA, STEPS
 
@@ -42,3 +42,15 @@ def test_looked_up_likelihoods_equal_the_model(spark, tables):
     got = {r.record_id: r.p_end for r in truncation.judged(seen, truncation.closing_texts(spark, d)).where("marked is not null").collect()}
     model = truncation.Closings.fit(texts)
     assert got == {f"p{i}": e[1] for i, t in enumerate(texts) if (e := truncation.doubt(t, model))} and len(got) > 8
+
+
+def test_prose_is_learnt_from_every_question(spark, tables, monkeypatch):
+    """A wording that only one question in thousands has is prose all the same."""
+    seen = []
+    monkeypatch.setattr(residue, "scored", lambda df, model: seen.append(model) or df.selectExpr("*", "0d as residue_share", "false as has_slot"))
+    rows = [pair(f"q{i}", f"Why does {word(i)} move {word(7 * i + 3)}?", None) for i in range(2600)]
+    entries = [("e1", "What is a zyxqvw?"), ("e1", "What is a zyxqvw?"), ("e2", " "), ("e3", None)]
+    d = tables(qa_pairs=(rows + rows[:40], QA), dataset_entries=(entries, "entry_id string, obfuscated_question string"))
+    residue.found(spark, d).collect()
+    want = residue.Residue.fit([r[1] for r in rows] + [entries[0][1]])
+    assert all((a == b).all() for a, b in zip(seen[0].model.tables, want.model.tables))
