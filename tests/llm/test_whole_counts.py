@@ -1,8 +1,10 @@
 """Models count all texts, each record once: nothing is drawn from a sample."""
 
+from types import SimpleNamespace
+
 import numpy as np
 
-from curatrix.llm import residue, truncation
+from curatrix.llm import pairs, residue, truncation
 
 from .conftest import QA, STEPS
 
@@ -54,3 +56,17 @@ def test_prose_is_learnt_from_every_question(spark, tables, monkeypatch):
     residue.found(spark, d).collect()
     want = residue.Residue.fit([r[1] for r in rows] + [entries[0][1]])
     assert all((a == b).all() for a, b in zip(seen[0].model.tables, want.model.tables))
+
+
+def test_every_pair_and_segment_trains_the_judge(spark, tables, monkeypatch):
+    """The model of the query is that of all labelled segments and answers of the table."""
+    fits = []
+    rounds = pairs.Judge.rounds.__func__
+    monkeypatch.setattr(pairs.Judge, "rounds", classmethod(lambda cls, count: fits.append(rounds(cls, count)) or fits[-1]))
+    rows = [pair(f"q{i}", f"Why does the {word(i)} move?", f"The {word(i)} moves. It is cold. It is old. Then {word(3 * i)} stops.") for i in range(3200)]
+    rows += [pair("z", "Warum steht die Pumpe?", "Die Pumpe steht still, weil sie heiss ist.", "de"), pair("n", None, None, None), pair("r", "Why?", "I cannot answer that, sorry.")]
+    d = tables(qa_pairs=(rows + rows[:40], QA), reasoning_steps=([], STEPS))
+    pairs.found(spark, d)
+    want = pairs.Judge.fit([SimpleNamespace(question=r[1], answer=r[2], language=r[4]) for r in rows])
+    assert len(fits) == 2
+    assert all((a == b).all() for a, b in zip(fits[0].both.tables, want.both.tables))
