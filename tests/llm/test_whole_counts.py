@@ -1,5 +1,6 @@
 """Models count all texts, each record once: nothing is drawn from a sample."""
 
+import pickle
 from types import SimpleNamespace
 
 import numpy as np
@@ -70,3 +71,13 @@ def test_every_pair_and_segment_trains_the_judge(spark, tables, monkeypatch):
     want = pairs.Judge.fit([SimpleNamespace(question=r[1], answer=r[2], language=r[4]) for r in rows])
     assert len(fits) == 2
     assert all((a == b).all() for a, b in zip(fits[0].both.tables, want.both.tables))
+
+
+def test_a_judge_is_sent_without_weights_of_unseen_ngrams():
+    """What each round sends to the executors stays small, and reads as before."""
+    judge = pairs.Judge.fit([SimpleNamespace(question="Why does the fan move?", answer="It moves since it is cold.", language="en")] * 3)
+    sent = pickle.dumps(judge, 5)
+    got = pickle.loads(sent)
+    assert len(sent) < 1_000_000
+    for a, b in ((judge.langs, got.langs), (judge.refusal, got.refusal), (judge.both, got.both)):
+        assert a.classes == b.classes and all((x == y).all() for x, y in zip(a.tables, b.tables))
