@@ -73,6 +73,23 @@ def test_every_pair_and_segment_trains_the_judge(spark, tables, monkeypatch):
     assert all((a == b).all() for a, b in zip(fits[0].both.tables, want.both.tables))
 
 
+def test_each_distinct_piece_is_read_once(monkeypatch):
+    """Tokens and their hashes are those of whole texts, but what is said again is not read again."""
+    odd = ["  a  b\tc  T65-13 T65-1a 3.4.5, 7x-A9 don't o'neil-b  co2 x² ²", "泵在24小时后 更换。pump风机A7停了 l'豈b豈 q　w\xa0é", "", " ", "- check the fan\n- log\n* item 3\n2. word -", "a.b c?d\x00e \x00 f"]
+    want = [truncation.hash_of(truncation._token(raw)) if raw not in [*truncation.ENDS, "\n"] else truncation._BREAK for t in odd for raw in [*truncation._TOKEN.findall(truncation._ITEMS.sub(r"\1- ", t)), None] if raw is not None]
+    h, shape = truncation.hashed(odd)
+    assert h[h != truncation._PAST].tolist() == want and (h == truncation._PAST).sum() == len(odd)
+    assert sorted({truncation.hash_of("shape " + truncation._shape(c)) for c in ("T65-13", "A7")} - set(shape.tolist())) == []
+    read = []
+
+    class Pattern:
+        findall = staticmethod(lambda t, own=truncation._TOKEN: read.append(t) or own.findall(t))
+
+    monkeypatch.setattr(truncation, "_TOKEN", Pattern)
+    truncation.hashed(["The fan kept its speed, and the fan kept its speed."] * 100)
+    assert sum(map(len, read)) <= 51
+
+
 def test_a_judge_is_sent_without_weights_of_unseen_ngrams():
     """What each round sends to the executors stays small, and reads as before."""
     judge = pairs.Judge.fit([SimpleNamespace(question="Why does the fan move?", answer="It moves since it is cold.", language="en")] * 3)
@@ -81,3 +98,12 @@ def test_a_judge_is_sent_without_weights_of_unseen_ngrams():
     assert len(sent) < 1_000_000
     for a, b in ((judge.langs, got.langs), (judge.refusal, got.refusal), (judge.both, got.both)):
         assert a.classes == b.classes and all((x == y).all() for x, y in zip(a.tables, b.tables))
+
+
+def test_segments_minima_are_those_of_reduceat():
+    rng = np.random.default_rng(3)
+    for sizes in ([1], [1, 40, 3, 100, 32, 33, 1], [7] * 50, [500, 2]):
+        x = rng.integers(0, 1 << 32, sum(sizes), dtype=np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        own = truncation._Minima(starts, len(x))
+        assert own.least(x[own.places]).tolist() == np.minimum.reduceat(x, starts).tolist()
