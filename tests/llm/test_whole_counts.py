@@ -107,3 +107,15 @@ def test_segments_minima_are_those_of_reduceat():
         starts = np.cumsum(sizes) - sizes
         own = truncation._Minima(starts, len(x))
         assert own.least(x[own.places]).tolist() == np.minimum.reduceat(x, starts).tolist()
+
+
+def test_pairs_are_prepared_once(spark, tables, monkeypatch):
+    """Texts are split into segments in one pass; the rounds read what it stored, and no text again."""
+    rows = [pair(f"q{i}", "Why does the fan move?", f"The T65-{i} moves. It is cold.") for i in range(40)] + [pair("n", None, "", "zz")]
+    langs, parts, said, coded = pairs.prepared(*[[r[k] for r in rows] for k in (1, 2, 4)])
+    assert langs[0] == "en" and parts[0].split("\n") == pairs.segments(rows[0][1]) + pairs.segments(rows[0][2]) and said[0] == rows[0][2] and coded[0] == "The § moves. It is cold."
+    assert (langs[-1], parts[-1], said[-1], coded[-1]) == (None, None, None, None)
+    monkeypatch.setattr(pairs, "segments", None)
+    judge = pairs.Judge(*(lambda n: (n[:-1], n[-1]))(pairs.tally(None, True, langs, parts, said, coded)))
+    again = pairs.tally(judge, True, langs, parts, said, coded)
+    assert again.shape == (6, 3, 1 << 17) and again[1].sum() > 0
