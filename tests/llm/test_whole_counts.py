@@ -90,6 +90,18 @@ def test_each_distinct_piece_is_read_once(monkeypatch):
     assert sum(map(len, read)) <= 51
 
 
+def test_pieces_of_earlier_batches_are_not_read_again(monkeypatch):
+    texts = ["The fan kept its speed of T65-13 at 3.4 V.", "泵在24小时后更换。\x00 a\x00"]
+    want = [x.tolist() for x in truncation.hashed(texts)]
+    read = []
+
+    class Pattern:
+        findall = staticmethod(lambda t, own=truncation._TOKEN: read.append(t) or own.findall(t))
+
+    monkeypatch.setattr(truncation, "_TOKEN", Pattern)
+    assert [x.tolist() for x in truncation.hashed(texts[::-1])] != want and [x.tolist() for x in truncation.hashed(texts)] == want and read == []
+
+
 def test_a_judge_is_sent_without_weights_of_unseen_ngrams():
     """What each round sends to the executors stays small, and reads as before."""
     judge = pairs.Judge.fit([SimpleNamespace(question="Why does the fan move?", answer="It moves since it is cold.", language="en")] * 3)
