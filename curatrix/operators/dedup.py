@@ -17,6 +17,8 @@ from .store import dropped, spread, stored
 #: Multipliers of the min-hash family are drawn from this modulus, a prime under 2^31, so that no product leaves a bigint.
 PRIME = 2147483647
 PERMUTATIONS, BANDS, SHINGLE, SIMILAR = 64, 16, 5, 0.8
+#: Rows of small sets that are taken together where they meet.
+CHUNK = 200_000
 _CJK = "㐀-䶿一-鿿豈-﫿"
 #: Words with all their letters, CJK by character; and overlapping pairs of CJK characters.
 WORD = rf"[{_CJK}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{_CJK}]]+"
@@ -119,6 +121,85 @@ def candidates(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") > F.col("y.doc_id")) & fits).select("x.doc_id", F.col("y.doc_id").alias("other")).distinct()
 
 
+def small_pairs(sets: DataFrame, most: int, similar: float = SIMILAR) -> DataFrame:
+    """Distinct pairs (doc_id, other smaller) of different small sets (doc_id, shingles: at most ``most`` hashes), all that have the similarity among them; exact copies collapsed before.
+
+    Sets so alike differ in d elements at most. Elements are dealt into d + 2 blocks, so such sets agree in two blocks at least (in two that are not empty, where the size of a set
+    grants that): sets meet by one block, of which a row each is shuffled, and inside of that by the bits of a second. A sketch has one bit for each element, the parity of those
+    that fall on it, so two sketches differ in d bits at most; only pairs for which that holds are handed on.
+    """
+    limit = int(2 * most * (1 - similar) / (1 + similar) + 1e-9)
+    blocks, bits = limit + 2, 64 // ((limit + 3) // 2)  # half of the blocks to a word of the sketch
+    half, ones = (blocks + 1) // 2, np.uint64((1 << bits) - 1)
+    kind = sets.schema["doc_id"].dataType.simpleString()
+
+    def mixed(h: np.ndarray, by: int) -> np.ndarray:
+        x = (h + np.uint64(by)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(29))
+
+    def deal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            if not len(p):
+                continue
+            n = p["shingles"].map(len).to_numpy()
+            h, starts = np.concatenate(p["shingles"].to_numpy()).astype(np.int64).view(np.uint64), np.r_[0, np.cumsum(n)[:-1]]
+            block, bit, name = mixed(h, 1) % np.uint64(blocks), mixed(h, 2) % np.uint64(bits), mixed(h, 3)
+            at = np.uint64(1) << ((block % np.uint64(half)) * np.uint64(bits) + bit)
+            sketch = [np.bitwise_xor.reduceat(np.where((block >= half) == second, at, np.uint64(0)), starts).view(np.int64) for second in (False, True)]
+            there = np.array([np.logical_or.reduceat(block == b, starts) for b in range(blocks)])
+            lack = np.minimum(limit, (n * (1 - similar) / similar + 1e-9).astype(int))
+            shown = there | (there.sum(axis=0) - lack < 2)
+            mask = (shown * (1 << np.arange(blocks))[:, None]).sum(axis=0)
+            for b in range(blocks - 1):
+                rows = shown[b] & (lack > 0)  # of a set that may lack nothing there are only copies
+                key = mixed(np.add.reduceat(np.where(block == b, name, np.uint64(0)), starts), b + 4).view(np.int64)
+                yield pd.DataFrame({"doc_id": p["doc_id"][rows], "key": key[rows], "b": np.int32(b), "mask": mask[rows], "s": sketch[0][rows], "t": sketch[1][rows]})
+
+    def met(p: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Pairs of whole groups of one key and block."""
+        ids, b, mask = p["doc_id"].to_numpy(), p["b"].to_numpy(), p["mask"].to_numpy()
+        s, t = p["s"].to_numpy().view(np.uint64), p["t"].to_numpy().view(np.uint64)
+        group = np.cumsum(np.r_[True, (p["key"].to_numpy()[1:] != p["key"].to_numpy()[:-1]) | (b[1:] != b[:-1])])
+        many = np.bincount(group)[group] > 1
+        for j in range(1, blocks):
+            rows = np.flatnonzero(many & (b < j) & ((mask >> j) & 1 == 1))
+            slot = ((t if j >= half else s)[rows] >> np.uint64(j % half * bits)) & ones
+            order = np.lexsort((slot, group[rows]))
+            rows, slot = rows[order], slot[order]
+            run = np.cumsum(np.r_[True, (slot[1:] != slot[:-1]) | (group[rows][1:] != group[rows][:-1])])
+            if not len(rows):
+                continue
+            last = np.searchsorted(run, run, side="right")  # where each row's run ends
+            x = np.arange(len(rows))
+            for step in range(1, len(rows)):
+                x = x[x + step < last[x]]
+                if not len(x):
+                    break
+                u, v = rows[x], rows[x + step]
+                near = np.bitwise_count(s[u] ^ s[v]) + np.bitwise_count(t[u] ^ t[v]) <= limit
+                if near.any():
+                    u, v = ids[u[near]], ids[v[near]]
+                    yield pd.DataFrame({"doc_id": np.maximum(u, v), "other": np.minimum(u, v)})
+
+    def meet(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: list[pd.DataFrame] = []
+        for p in parts:
+            kept.append(p)
+            if sum(map(len, kept)) >= CHUNK:
+                p = pd.concat(kept, ignore_index=True)
+                key = p["key"].to_numpy()
+                whole = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+                kept = [p[whole:]]
+                if whole:
+                    yield from met(p[:whole])
+        if kept and sum(map(len, kept)):
+            yield from met(pd.concat(kept, ignore_index=True))
+
+    dealt = sets.select("doc_id", "shingles").where("size(shingles) > 0").mapInPandas(deal, f"doc_id {kind}, key bigint, b int, mask bigint, s bigint, t bigint")
+    return dealt.repartition("key").sortWithinPartitions("key", "b").mapInPandas(meet, f"doc_id {kind}, other {kind}").where("doc_id <> other").distinct()
+
+
 def similar_links(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, other (smaller), similarity of near-copies, verified exactly on their shingle sets."""
     sets = stored(shingled(spread(docs)))
@@ -199,11 +280,14 @@ def near_class_ids(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return of.join(of.groupBy("class_id").agg(F.count("*").alias("n_members")), "class_id").select("doc_id", "class_id", "n_members")
 
 
-def classes_of(fp: DataFrame, features: Callable[[DataFrame], DataFrame], similar: float = SIMILAR) -> DataFrame:
-    """``near_classes`` from fingerprints (doc_id, fp; a stored table) and the shingle sets that ``features`` gives of the first documents (doc_id) of each fingerprint."""
+def classes_of(fp: DataFrame, features: Callable[[DataFrame], DataFrame], similar: float = SIMILAR, paired: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``near_classes`` from fingerprints (doc_id, fp; a stored table) and the shingle sets that ``features`` gives of the first documents (doc_id) of each fingerprint.
+
+    ``paired`` gives the candidate pairs of these sets, in place of ``candidates``."""
     exact = stored(representatives(fp, "fp"))
     sets = stored(features(exact.where("doc_id = representative").select("doc_id")))
-    links = stored(verified(candidates(sets, similar), sets).where(F.col("similarity") >= similar).select("doc_id", "other"))
+    pairs = paired(sets) if paired else candidates(sets, similar)
+    links = stored(verified(pairs, sets).where(F.col("similarity") >= similar).select("doc_id", "other"))
     comp = components(links)
     degree = links.select(F.explode(F.array("doc_id", "other")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = exact.join(comp.withColumnRenamed("node", "representative"), "representative", "left").join(degree.withColumnRenamed("node", "representative"), "representative", "left")

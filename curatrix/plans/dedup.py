@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,12 +136,25 @@ kr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, w) AS
 
 
 def keyword_sets(docs: DataFrame, most: int = KEYWORDS) -> DataFrame:
-    """doc_id, words: the ``most`` commonest tokens of text and title (ties by token), single letters left out. Documents without any are left out."""
-    both = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.coalesce("title", F.lit("")))
-    w = docs.select("doc_id", F.explode(T.tokens(both)).alias("w")).where("length(w) > 1 or w rlike '[一-鿿]'")
-    tf = w.groupBy("doc_id", "w").agg(F.count("*").alias("tf"))
-    first = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("tf")).alias("less"), "w"))), 1, most)  # the distinct tokens of one document
-    return tf.groupBy("doc_id").agg(F.transform(first, lambda s: s["w"]).alias("words"))
+    """doc_id, words: the ``most`` commonest tokens of text and title (ties by token), single letters left out. Documents without any are left out.
+
+    Tokens are counted where the document is; only documents whose key comes more than once, if there are any, are brought together before, as all their rows count.
+    """
+    both = F.lower(F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.coalesce("title", F.lit(""))))
+    rows = docs.select("doc_id", both.alias("t"))
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        rows = rows.groupBy("doc_id").agg(F.array_join(F.collect_list("t"), " ").alias("t"))
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        token = re.compile("[a-z0-9]{2,}|[一-鿿]")  # the tokens that are kept; see TOKEN
+        for p in parts:
+            words = []
+            for t in p["t"]:
+                tf = Counter(token.findall(t))
+                words.append([w for w, _ in sorted(tf.items(), key=lambda x: (-x[1], x[0]))[:most]])
+            yield pd.DataFrame({"doc_id": p["doc_id"], "words": words})
+
+    return spread(rows).mapInPandas(count, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words array<string>").where("size(words) > 0")
 
 
 @PLAN.add(f"WITH {_KEYWORD_SETS} SELECT doc_id, len(words) AS n_keywords, md5(array_to_string([{', '.join(_minhash(i) for i in range(KEY_PERMUTATIONS))}], ',')) AS signature, {_minhash(0)} AS m0 FROM ks")
@@ -148,11 +166,12 @@ def keyword_minhash(spark: SparkSession, d: str) -> DataFrame:
 
 @PLAN.add()
 def keyword_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    """One row per document with its class and links by the thirty commonest tokens (similarity 0.8 or more of the sets)."""
+    """One row per document with its class and links by the thirty commonest tokens: all pairs of sets of similarity 0.8 or more."""
     docs = _docs(spark, d)
     words = stored(keyword_sets(docs))
     fp = stored(words.select("doc_id", F.md5(F.array_join(F.array_sort("words"), " ")).alias("fp")))
-    return D.classes_of(fp, lambda first: words.join(first, "doc_id", "left_semi").select("doc_id", D.hashed(F.col("words")).alias("shingles")))
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    return D.classes_of(fp, lambda first: words.join(first, "doc_id", "left_semi").select("doc_id", hashes.alias("shingles")), paired=lambda sets: D.small_pairs(sets, KEYWORDS))
 
 
 @PLAN.add(f"""WITH w AS (SELECT doc_id, {TOKENS.format('text')} AS w FROM documents WHERE text IS NOT NULL), t AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w), c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
