@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from curatrix.functions import text as T
 
-from .base import QA, STEPS, TOKENS, Plan, qa, read, steps
+from .base import QA, STEPS, TOKEN, TOKENS, Plan, qa, read, steps
 
 PLAN = Plan()
 QUERIES, SQL = PLAN.queries, PLAN.sql
@@ -258,10 +264,19 @@ u AS (SELECT id, a, count(*) AS n FROM t GROUP BY 1, 2), g AS (SELECT id, a, b,
 p AS (SELECT id, -sum(k * ln(k / n)) / sum(k) AS lp FROM g JOIN u USING (id, a) GROUP BY 1)
 SELECT id, round(1 / (1 + lp), 6) AS perplexity_score FROM p""")
 def perplexity(spark: SparkSession, d: str) -> DataFrame:
-    """Self-perplexity by bigrams, brought to 0..1: ln of the perplexity is the mean negative log-probability."""
-    w = qa(spark, d).select("id", T.tokens(F.col("answer")).alias("w")).where("size(w) >= 2")
-    pairs = w.select("id", F.explode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", F.lit(2), F.size("w")).alias("b"))).alias("p")).select("id", "p.a", "p.b")
-    u = pairs.groupBy("id", "a").agg(F.count("*").alias("n"))
-    g = pairs.where("b is not null").groupBy("id", "a", "b").agg(F.count("*").alias("k"))
-    lp = g.join(u, ["id", "a"]).groupBy("id").agg((-F.sum(F.col("k") * F.ln(F.col("k") / F.col("n"))) / F.sum("k")).alias("lp"))
+    """Self-perplexity by bigrams, brought to 0..1: ln of the perplexity is the mean negative log-probability. Pairs are counted where the answer is."""
+    token = re.compile(TOKEN)
+
+    def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            ids, values = [], []
+            for i, t in zip(p["id"], p["t"]):
+                w = token.findall(t)
+                if len(w) >= 2:
+                    n = Counter(w)
+                    ids.append(i)
+                    values.append(-math.fsum(k * math.log(k / n[a]) for (a, _), k in Counter(zip(w, w[1:])).items()) / (len(w) - 1))
+            yield pd.DataFrame({"id": pd.Series(ids, dtype=object), "lp": pd.Series(values, dtype=float)})
+
+    lp = qa(spark, d).where("id is not null").select("id", F.lower("answer").alias("t")).mapInPandas(measure, "id string, lp double")
     return lp.select("id", F.round(1 / (1 + F.col("lp")), 6).alias("perplexity_score"))
